@@ -16,6 +16,7 @@ from citeloom.llm.pii import pii_report
 from citeloom.llm.quality import quality_report
 from citeloom.llm.sentencepieces import encode
 from citeloom.llm.sharding import shard_documents
+from citeloom.llm.suffixes import dedup_substrings
 from citeloom.llm.topk import top_k
 from citeloom.llm.urls import filter_urls, fit, labelled_urls
 
@@ -58,6 +59,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"), PII_KEY)
 
@@ -69,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op4_jaccard_join, op5_exact_topk, op6_sentencepiece, op7_line_dedup, op8_quality, op10_pii, pipeline)
+    f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op4_jaccard_join, op5_exact_topk, op6_sentencepiece, op7_line_dedup, op8_quality, op9_suffix_dedup, op10_pii, pipeline)
 }
 
 ORACLES: dict[str, str] = {
