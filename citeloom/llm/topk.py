@@ -20,7 +20,7 @@ ROWS = 2_000
 
 def statistics(x: np.ndarray, width: int) -> np.ndarray:
     """For each row, the means and the deviations (norms about the mean) of its segments, both scaled so that the dot product of two rows' statistics is at least that of the rows."""
-    parts = np.pad(x, ((0, 0), (0, -x.shape[1] % width))).reshape(len(x), -1, width)
+    parts = np.pad(x, ((0, 0), (0, -x.shape[1] % width))).reshape(len(x), -(-x.shape[1] // width), width)
     mean = parts.mean(2)
     return np.hstack([mean * np.sqrt(width), np.sqrt(((parts - mean[:, :, None]) ** 2).sum(2))])
 
