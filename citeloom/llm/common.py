@@ -71,19 +71,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of the edges: component is the smallest node reachable.
 
-    Each round sends the smaller label over every edge and then follows the label's own label (pointer
-    jumping), so the rounds grow with the logarithm of the longest path. Hot nodes pre-aggregate by min.
-    Null ends are no nodes; loops give a component of their own node.
+    In a round, each node takes the smallest of its neighbours and itself, and then what that one took; edges
+    are drawn between what their ends took, without loops and repetitions, until none is left. So edges get
+    fewer with every round, and hot nodes pre-aggregate by min. Null ends are no nodes; loops give a component
+    of their own node.
     """
-    pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    pairs = cut(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = cut(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")))
-    while True:
-        near = pairs.join(labels.select(F.col("u").alias("v"), F.col("label").alias("other")), "v").groupBy("u").agg(F.min("other").alias("near"))
-        step = labels.join(near, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        roots = labels.select(F.col("u").alias("label"), F.col("label").alias("root"))
-        after = cut(step.join(roots, "label").select("u", "old", F.least("label", "root").alias("label")))
-        moved = after.where("old <> label").limit(1).count()
-        labels = after.select("u", "label")
-        if not moved:
-            return labels.select(F.col("u").alias("node"), F.col("label").alias("component"))
+    ends = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
+    ends = cut(ends.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    placed = ends.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("component", F.col("node"))
+    ends = ends.where("u <> v")
+    while not ends.isEmpty():
+        both = ends.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("v").alias("y")), F.struct(F.col("v").alias("x"), F.col("u").alias("y")))).alias("e")).select("e.*")
+        took = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("y"))
+        ahead = took.select(F.col("x").alias("y"), F.col("y").alias("z"))
+        took = cut(took.join(ahead, "y").select("x", F.least("y", "z").alias("to")))
+        placed = placed.join(took.withColumnRenamed("x", "component"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        drawn = ends.join(took.select(F.col("x").alias("u"), F.col("to").alias("p")), "u").join(took.select(F.col("x").alias("v"), F.col("to").alias("q")), "v")
+        ends = cut(drawn.where("p <> q").select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")).distinct())
+    return cut(placed)
