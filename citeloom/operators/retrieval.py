@@ -24,7 +24,7 @@ PLANS = {
     "q16_multi_query": (["doc"], lambda d: "SELECT section, min(q) AS first_query FROM (SELECT section, q, row_number() OVER (PARTITION BY q ORDER BY section) AS rn FROM doc JOIN (SELECT * FROM (VALUES ('lease'), ('tax'), ('wage')) AS v(q)) w ON contains(lower(text), q)) x WHERE rn <= 10 GROUP BY section ORDER BY section LIMIT 20"),
     "q17_comparable": (["courtcase"], lambda d: "SELECT a.case_id AS a, b.case_id AS b FROM courtcase a JOIN courtcase b ON a.court = b.court AND a.reporter = b.reporter AND a.o_custkey = b.o_custkey AND abs(a.n_cites - b.n_cites) <= 1 AND a.case_id < b.case_id"),
     "q18_similarity": (["courtcase"], lambda d: "SELECT a.case_id AS a, b.case_id AS b, 40 * CASE WHEN a.n_cites = b.n_cites THEN 1 ELSE 0 END + CASE WHEN a.court = b.court THEN 20 ELSE 10 END + CASE WHEN a.reporter = b.reporter THEN 15 ELSE 0 END AS score FROM courtcase a JOIN courtcase b ON a.o_custkey = b.o_custkey AND a.case_id < b.case_id"),
-    "q19_valuation": (["courtcase"], lambda d: "SELECT reporter, round(avg(least(word_count, 2500) * 1.5), 6) * 1e0 AS estimate FROM courtcase GROUP BY reporter"),
+    "q19_valuation": (["courtcase"], lambda d: "SELECT reporter, round(avg(least(word_count, 2500) * 1.5e0), 6) * 1e0 AS estimate FROM courtcase GROUP BY reporter"),
     "q20_upper_median": (["courtcase"], lambda d: f"SELECT reporter, word_count AS upper_median FROM (SELECT reporter, word_count, row_number() OVER (PARTITION BY reporter ORDER BY word_count, case_id) AS rn, count(*) OVER (PARTITION BY reporter) AS n FROM courtcase) x WHERE rn = {d.div('n', '2')} + 1"),
     "q21_judge_analytics": (["courtcase"], lambda d: "SELECT court, reporter, count(*) AS n, round(avg(word_count), 6) AS mean_words FROM courtcase GROUP BY court, reporter"),
     "q22_membership": (["doc"], lambda d: f"SELECT section FROM (SELECT section, {rules.areas('lower(text)', fixed.AREAS, 2)} AS a FROM doc) x WHERE contains(a, 'criminal_law')"),
