@@ -1,10 +1,12 @@
 """Exact Jaccard join of shingle sets, by set-relation skipping, down to its connected components.
 
-Index lists: a set is cut by position, that is by ranges of its sorted hashes, into blocks: one block more
-than two linked sets of that size can differ in elements. So linked sets have an equal block, and a list is
-kept for each block instead of each element; the lists of all other blocks are skipped. (Lists of single
-shingles would be those of common phrases, which join everything.) Sizes are parted into levels, as the
-number of blocks must be the same for both sets; a set near the next level has its blocks there too.
+Index lists: a set is cut by position, that is by ranges of its sorted hashes, into more blocks than two
+linked sets of that size can differ in elements. So linked sets have some number of equal blocks, and a list
+is kept for each block instead of each element. A set that must share c blocks with all that are linked to it
+skips the c - 1 of its lists that are longest over the whole table: the rarest block shared is still among
+those of both sets. (So the lists of common phrases and passages join nothing but what consists of them.)
+Sizes are parted into levels, as the number of blocks must be the same for both sets; a set near the next
+level has its blocks there too.
 
 Answers: the members of a large group of candidates are compared with one hub, the elements that most of
 them have. Two sets x and y whose differences from the hub are Dx and Dy share |hub| - |hub - x| - |hub - y|
@@ -34,6 +36,10 @@ ASKED = 64
 SIDE = 128
 #: Text bytes hashed at once.
 CHUNK = 2_000_000
+#: Blocks for each element in which linked sets can differ: the more there are, the more long lists are skipped.
+SPARE = 1.15
+#: In a tag, a level stands above the number of lists to skip.
+LEVEL = 32
 #: Sets that share less with the hub are sought by their blocks; others by their differences. Those that could be linked to one of the other kind are sought by both.
 NEAR = 0.5
 
@@ -52,15 +58,15 @@ BOUNDS = level_bounds(1 << 40)
 def block_counts(levels: np.ndarray, t: tuple[int, int]) -> np.ndarray:
     """Blocks of a set at each level: over the most elements in which linked sets of the level differ, with room for empty blocks."""
     top = BOUNDS[levels + 1] - 1
-    differ = 2 * top * (t[1] - t[0]) // (t[1] + t[0])
-    return np.ceil((differ + 1) * (1 + 3 * np.exp(-top / (differ + 1)))).astype(np.int64) + 2
+    enough = SPARE * (2 * top * (t[1] - t[0]) // (t[1] + t[0]) + 1)
+    return np.ceil(enough * (1 + 3 * np.exp(-top / enough))).astype(np.int64) + 2
 
 
-def blocks(sets: list[np.ndarray], t: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(list key, number of the set) for all blocks of the sets."""
+def blocks(sets: list[np.ndarray], t: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(list key, number of the set, tag) for all blocks of the sets; a tag has the level and how many lists of that level the set may skip."""
     n = np.array([len(s) for s in sets], np.int64)
     own = np.searchsorted(BOUNDS, n, "right") - 1
-    keys, owners = [], []
+    keys, owners, tags = [], [], []
     for up in (0, 1):
         which = np.flatnonzero((n > 0) if up == 0 else (n > 0) & (n * t[1] >= BOUNDS[own + 1] * t[0]))
         if not len(which):
@@ -80,15 +86,17 @@ def blocks(sets: list[np.ndarray], t: tuple[int, int]) -> tuple[np.ndarray, np.n
         # a set with too many empty blocks may have no whole one in common with another such set: these share a list of prefix elements
         filled = np.bincount(at[new], minlength=len(which))
         most = np.minimum(length * t[1] // t[0], BOUNDS[levels + 1] - 1)
-        unsafe = filled <= (length + most) * (t[1] - t[0]) // (t[1] + t[0])
-        for i in np.flatnonzero(unsafe):
+        shared = filled - (length + most) * (t[1] - t[0]) // (t[1] + t[0])
+        tags.append((levels << LEVEL | np.maximum(shared - 1, 0))[at[new]])
+        for i in np.flatnonzero(shared <= 0):
             s = sets[which[i]]
             prefix = s[: len(s) - -(-len(s) * t[0] // t[1]) + 1]
             keys.append(mix(prefix ^ np.uint64(0x2545F4914F6CDD1D)))
             owners.append(np.full(len(prefix), which[i]))
+            tags.append(np.full(len(prefix), len(BOUNDS) << LEVEL))
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(tags)
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -134,11 +142,25 @@ def facts_batch(kind: str, key, a, b=None, n=None) -> pa.RecordBatch:  # noqa: A
     return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.string()), column(key), column(a), column(b), column(n)], names=["kind", "key", "a", "b", "n"])
 
 
+GATHERED = f"{FACTS}, ids array<long>, tags array<long>"
+
+
+def gathered(facts: pa.RecordBatch, sizes=None, ids=None, tags=None) -> pa.RecordBatch:  # noqa: ANN001
+    """facts with the columns ids and tags: sizes of them for each row, or null."""
+
+    def lists(values) -> pa.Array:  # noqa: ANN001
+        if sizes is None:
+            return pa.nulls(facts.num_rows, pa.list_(pa.int64()))
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(values, pa.int64()))
+
+    return pa.RecordBatch.from_arrays([*facts.columns, lists(ids), lists(tags)], names=[*facts.schema.names, "ids", "tags"])
+
+
 def gather(k: int, t: tuple[int, int]):  # noqa: ANN201
-    """For texts: facts N (size of a's set), L (a and b have equal sets), C (a and b share a list) and P (a is in the list key).
+    """For texts: facts N (size of a's set), L (a and b have equal sets) and P (n sets are in the list key: a with tag b, and ids with tags).
 
-    What a batch can join itself it joins: equal sets are one from then on, and a list gets one entry, its
-    smallest id in the batch. So hot lists are pre-aggregated.
+    What a batch can join itself it joins: equal sets are one from then on, and a list gets one entry with all
+    its sets in the batch. So hot lists are pre-aggregated.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,23 +179,20 @@ def gather(k: int, t: tuple[int, int]):  # noqa: ANN201
                             keep.append(i)
                         else:
                             equal.append((other, start + i))
-                keys, owners = blocks([sets[i] for i in keep], t)
-                found.append((keys, start + np.array(keep, np.int64)[owners] if len(keep) else owners))
-            yield facts_batch("N", as_long(mix(ids.astype(np.uint64))), ids, n=np.array(sizes, np.int64))
+                keys, owners, tags = blocks([sets[i] for i in keep], t)
+                found.append((keys, start + np.array(keep, np.int64)[owners] if len(keep) else owners, tags))
+            yield gathered(facts_batch("N", as_long(mix(ids.astype(np.uint64))), ids, n=np.array(sizes, np.int64)))
             if equal:
                 pairs = ids[np.array(equal)]
-                yield facts_batch("L", as_long(mix(pairs[:, 1].astype(np.uint64))), pairs[:, 0], pairs[:, 1])
-            keys, owners = (np.concatenate(x) for x in zip(*found, strict=True))
-            owners = ids[owners] if len(owners) else owners
-            order = np.lexsort((owners, keys))
-            keys, owners = keys[order], owners[order]
-            first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
+                yield gathered(facts_batch("L", as_long(mix(pairs[:, 1].astype(np.uint64))), pairs[:, 0], pairs[:, 1]))
+            keys, owners, tags = (np.concatenate(x) for x in zip(*found, strict=True))
             if len(keys):
-                yield facts_batch("P", as_long(keys[first]), owners[first])
-                lead = owners[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-                pairs = np.unique(np.stack([lead[~first], owners[~first]], 1)[lead[~first] != owners[~first]], axis=0)
-                if len(pairs):
-                    yield facts_batch("C", as_long(mix(pairs[:, 1].astype(np.uint64))), pairs[:, 0], pairs[:, 1])
+                owners = ids[owners]
+                order = np.lexsort((owners, keys))
+                keys, owners, tags = keys[order], owners[order], tags[order]
+                first = np.r_[True, keys[1:] != keys[:-1]]
+                n = np.diff(np.r_[np.flatnonzero(first), len(keys)])
+                yield gathered(facts_batch("P", as_long(keys[first]), owners[first], tags[first], n), n - 1, owners[~first], tags[~first])
 
     return run
 
@@ -277,7 +296,7 @@ def differences(k: int, t: tuple[int, int]):  # noqa: ANN201
 
     def facts(grp: int, out: dict, far: list) -> Iterator[pa.RecordBatch]:
         if far:
-            key, owner = blocks([s for _, s in far], t)
+            key, owner, _ = blocks([s for _, s in far], t)
             out["key"].append(key)
             out["a"].append(np.array([x for x, _ in far], np.int64)[owner])
             out["n"].append(np.ones(len(key), np.int64))
@@ -345,6 +364,20 @@ def sized(members: DataFrame) -> DataFrame:
     return cut(members.join(sizes, "component").select(F.col("component").alias("grp"), "size", F.col("node").alias("doc_id")))
 
 
+def shared_lists(lists: DataFrame) -> DataFrame:
+    """(a, b) for each list that two sets have and neither skips: a is the smallest id in it, b another.
+
+    lists has (key, long, a, b, n, ids, tags): entries of a list of long sets in all. A set skips its longest.
+    """
+    none = F.array().cast("array<long>")
+    each = F.arrays_zip(F.concat(F.array("a"), F.coalesce("ids", none)).alias("id"), F.concat(F.array("b"), F.coalesce("tags", none)).alias("tag"))
+    entries = lists.select("key", "long", F.explode(each).alias("e")).select("key", "long", F.col("e")["id"].alias("a"), F.col("e")["tag"].alias("tag"))
+    place = F.row_number().over(Window.partitionBy("a", "tag").orderBy(F.desc("long"), "key"))
+    kept = cut(entries.withColumn("place", place).where(F.col("place") > F.col("tag").bitwiseAND((1 << LEVEL) - 1)).select("key", "a"))
+    led = cut(kept.groupBy("key").agg(F.min("a").alias("lead"), F.max("a").alias("last")).where("lead <> last").select("key", "lead"))
+    return cut(kept.join(small_side(led), "key").where("lead <> a").select(F.col("lead").alias("a"), F.col("a").alias("b")).distinct())
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs.
 
@@ -359,12 +392,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] =
     ship(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = rows.where("doc_id IS NOT NULL")
-    raw = known.mapInArrow(gather(k, threshold), FACTS)
-    lead = F.first("a").over(Window.partitionBy("key").orderBy("a"))
-    joined = raw.withColumn("lead", F.when(F.col("kind") == "P", lead)).where("kind <> 'P' OR lead <> a")
-    joined = joined.select(F.when(F.col("kind") == "P", "C").otherwise(F.col("kind")).alias("kind"), F.when(F.col("kind") == "P", F.col("lead")).otherwise(F.col("a")).alias("a"), F.when(F.col("kind") == "P", F.col("a")).otherwise(F.col("b")).alias("b"), "n")
-    facts = cut(joined.groupBy("kind", "a", "b", "n").agg(F.count("*").alias("times")).drop("times"))
-    edges = facts.where("kind = 'C'").select("a", "b")
+    long = F.sum(F.when(F.col("kind") == "P", F.col("n"))).over(Window.partitionBy("key"))
+    facts = cut(known.mapInArrow(gather(k, threshold), GATHERED).withColumn("long", long).where("kind <> 'P' OR long > 1"))
+    edges = shared_lists(facts.where("kind = 'P'"))
     links = facts.where("kind = 'L'").select("a", "b")
     if not edges.isEmpty():
         groups = sized(components(edges))
@@ -376,9 +406,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] =
             if not edges.isEmpty():
                 links = links.unionByName(compared_whole(known, sized(components(edges)), k, threshold))
     classes = components(links)
-    sizes = facts.where("kind = 'N'").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"))
+    sizes = facts.where("kind = 'N'").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles")).distinct()
     placed = sizes.join(small_side(classes.withColumnRenamed("node", "doc_id")), "doc_id", "left")
-    unknown = rows.where("doc_id IS NULL").mapInArrow(gather(k, threshold), FACTS).where("kind = 'N'").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component"))
+    unknown = rows.where("doc_id IS NULL").mapInArrow(gather(k, threshold), GATHERED).where("kind = 'N'").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component"))
     return placed.unionByName(unknown).select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
