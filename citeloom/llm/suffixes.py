@@ -2,8 +2,9 @@
 
 A window of WIDTH bytes belongs to the shard of its minimizer, the smallest hash of the k-byte strings in it.
 It depends on the window's bytes alone, so equal windows meet in one shard whatever their documents; runs of
-windows with one minimizer travel together, as one snippet. Only minimizers that two documents share are
-followed: first their hashes are matched, then the snippets of the shared ones are dealt to their shards.
+windows with one minimizer travel together. Runs first travel as hashes: of equal runs, those of all but the
+smallest document go whole. Only where documents share a minimizer in different runs, the bytes of one run of
+each kind, its snippet, are dealt to the shard of the minimizer.
 
 In a shard, blocks of snippets are ranked as a suffix array is built by Larsson and Sadakane: ranks of 8
 bytes, doubled to 16 and 32, each from pairs of the ranks before. The common prefix of two suffixes follows
@@ -33,15 +34,15 @@ WIDTH, K = 50, 20
 BLOCK = 400_000
 
 
-def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, windows, minimizer) of each run of windows with one minimizer; windows do not cross texts."""
+def numbered_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window, windows, minimizer, content) of each run of windows with one minimizer; content is a hash of the run's bytes. Windows do not cross texts."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes)))
     n = len(data) - WIDTH + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data), BASE), out=total[1:])
     low = mix((total[K:] - total[:-K]) * powers(len(total) - K, INVERSE))
@@ -55,66 +56,83 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     new = inside & np.concatenate(([True], (low[1:] != low[:-1]) | ~inside[:-1] | (text[1:] != text[:-1])))
     first = np.flatnonzero(new)
     ends = np.flatnonzero(inside & np.concatenate((new[1:] | ~inside[1:], [True])))
+    count = ends - first + 1
+    raw = (total[ends + WIDTH] - total[first]) * powers(len(total), INVERSE)[first]
     at = text[first]
-    return at, first - starts[at], ends - first + 1, low[first]
+    return at, first - starts[at], count, low[first], mix(raw + count.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return numbered_runs(texts)[:4]
 
 
-POSTS = "key long, doc long, shared boolean, done boolean"
+POSTS = "at long, key long, content long, doc long, start long, size long, many boolean"
 
 
-def posts_batch(key, doc, shared, done) -> pa.RecordBatch:  # noqa: ANN001
+def posts_batch(at, key, content, doc, start, size, many) -> pa.RecordBatch:  # noqa: ANN001
     n = len(doc)
-    return pa.RecordBatch.from_arrays([pa.array(as_long(key)), pa.array(doc), pa.array(shared), pa.array(np.full(n, done))], names=["key", "doc", "shared", "done"])
+    known = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(as_long(x))
+    return pa.RecordBatch.from_arrays([known(at), known(key), known(content), *(pa.array(x) for x in (doc, start, size)), pa.array(many)], names=["at", "key", "content", "doc", "start", "size", "many"])
+
+
+def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of each document, with those that overlap or touch as one."""
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], end[order]
+    base = np.r_[0, np.cumsum(doc[1:] != doc[:-1])] * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + base)
+    first = np.flatnonzero(np.r_[True, (start + base)[1:] > reach[:-1]])
+    return doc[first], start[first], (reach - base)[np.r_[first[1:] - 1, len(doc) - 1]]
 
 
 def posts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, doc, shared, done): each document's minimizers. Of those that documents of a batch share, one entry goes on; the others are done."""
+    """The runs of each document, without their bytes, and where (at) they meet those of other batches.
+
+    A run that a smaller document of the batch has too goes whole, and comes as a span without a key. Of those
+    left of a minimizer, if they are of several documents, one meets the other batches (many: there are more);
+    the rest are known to be shared and are dealt out. So hot minimizers are pre-aggregated.
+    """
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for start, texts in chunks(batch, 1):
-            at, _, _, low = runs(texts)
-            keys.append(low)
-            docs.append(ids[start + at])
-        key, doc = np.concatenate(keys), np.concatenate(docs)
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        key, doc = key[new], doc[new]
-        lead = np.ones(len(key), bool)
-        lead[1:] = key[1:] != key[:-1]
-        many = np.zeros(len(key), bool)
-        many[:-1] = ~lead[1:]
-        yield posts_batch(key[lead], doc[lead], many[lead], False)
-        yield posts_batch(key[~lead], doc[~lead], np.ones(int((~lead).sum()), bool), True)
-
-
-SNIPPETS = "key long, doc long, start long, size long, data binary"
+        found = []
+        for row, texts in chunks(batch, 1):
+            at, first, count, low, content = numbered_runs(texts)
+            found.append((low, content, ids[row + at], first, count + WIDTH - 1))
+        if not found:
+            continue
+        key, content, doc, start, size = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(key):
+            continue
+        order = np.lexsort((doc, content, key))
+        key, content, doc, start, size = (x[order] for x in (key, content, doc, start, size))
+        lead = np.r_[True, (key[1:] != key[:-1]) | (content[1:] != content[:-1])]
+        gone = doc > doc[np.flatnonzero(lead)][np.cumsum(lead) - 1]
+        if gone.any():
+            d, a, b = merged(doc[gone], start[gone], start[gone] + size[gone])
+            yield posts_batch(mix(d.astype(np.uint64) ^ mix(a.astype(np.uint64))), None, None, d, a, b - a, np.zeros(len(d), bool))
+        key, content, doc, start, size = (x[~gone] for x in (key, content, doc, start, size))
+        lead = np.r_[True, key[1:] != key[:-1]]
+        edges = np.flatnonzero(lead)
+        several = (np.minimum.reduceat(doc, edges) != np.maximum.reduceat(doc, edges))[np.cumsum(lead) - 1]
+        alone = several & ~lead
+        yield posts_batch(np.where(alone, mix(key ^ mix(content ^ doc.astype(np.uint64))), key), key, content, doc, start, size, several)
+
+
+SNIPPETS = "key long, doc long, start long, data binary"
 
 
 def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (doc_id, text, keys): the bytes of runs whose minimizer is in keys. One that a smaller document of the batch has too comes without bytes: it goes whole."""
-    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("size", pa.int64()), ("data", pa.binary())])
+    """Of rows (doc_id, text, runs): the bytes of each run."""
+    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("data", pa.binary())])
     for batch in batches:
-        batch = batch.take(pa.array(np.argsort(batch.column(0).to_numpy(zero_copy_only=False), kind="stable")))
-        ids = batch.column(0).to_pylist()
-        seen: dict[bytes, int] = {}
-        for start, texts in chunks(batch, 1):
-            at, first, count, low = runs(texts)
-            edges = np.searchsorted(at, np.arange(len(texts) + 1))
-            rows = ([], [], [], [], [])
-            for i, text in enumerate(texts):
-                a, b = edges[i], edges[i + 1]
-                wanted = np.array(batch.column(2)[start + i].values, np.int64).view(np.uint64)
-                doc = ids[start + i]
-                for r in np.flatnonzero(np.isin(low[a:b], wanted)) + a:
-                    p, size = int(first[r]), int(count[r]) + WIDTH - 1
-                    data = text[p : p + size]
-                    owner = seen.setdefault(data, doc)
-                    for column, value in zip(rows, (int(low[r].view(np.int64)), doc, p, size, data if owner == doc else None), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, schema, strict=True)], schema=schema)
+        for row, texts in chunks(batch, 1):
+            wanted = batch.column(2).slice(row, len(texts))
+            doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False)[row : row + len(texts)], np.diff(wanted.offsets.to_numpy()))
+            text = np.repeat(np.arange(len(texts)), np.diff(wanted.offsets.to_numpy()))
+            key, start, size = (x.to_numpy(zero_copy_only=False) for x in wanted.flatten().flatten())
+            data = [texts[i][a : a + n] for i, a, n in zip(text.tolist(), start.tolist(), size.tolist(), strict=True)]
+            out = pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(start), pa.array(data, pa.binary())], schema=schema)
+            yield out.filter(pc.greater_equal(pc.binary_length(out.column(3)), WIDTH))
 
 
 def ranked(values: np.ndarray) -> np.ndarray:
@@ -206,7 +224,7 @@ def ranked_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             block, size = [], 0
 
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             if row[0] != key:
                 if before or size > BLOCK:
                     yield from flush(False)
@@ -247,34 +265,15 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     """(doc, start, end): bytes of documents that windows of smaller documents cover; spans may overlap."""
     ship(docs)
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    entries = rows.mapInArrow(posts, POSTS).withColumn("at", F.when(F.col("done"), F.xxhash64("doc", "key")).otherwise(F.col("key")))
     of = Window.partitionBy("at")
-    shared = entries.withColumn("many", F.max("shared").over(of)).withColumn("lo", F.min("doc").over(of)).withColumn("hi", F.max("doc").over(of)).where("done OR many OR lo <> hi")
-    wanted = cut(shared.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("key").alias("keys")))
-    found = rows.join(wanted, "doc_id").mapInArrow(snippets, SNIPPETS)
-    dealt = found.repartition("key").sortWithinPartitions("key", "doc", "start")
-    # a snippet without bytes goes whole
-    marked = dealt.mapInArrow(ranked_or_whole, "doc long, start long, end long")
-    return cut(marked)
-
-
-def ranked_or_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    whole = []
-
-    def with_bytes() -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            has = batch.column(4).is_valid()
-            gone = batch.filter(pc.invert(has))
-            if gone.num_rows:
-                start, size = (gone.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-                whole.append(pa.RecordBatch.from_arrays([gone.column(1), pa.array(start), pa.array(start + size)], names=["doc", "start", "end"]))
-            yield batch.filter(has)
-
-    for out in ranked_shards(with_bytes()):
-        yield from whole
-        whole.clear()
-        yield out
-    yield from whole
+    met = rows.mapInArrow(posts, POSTS)
+    met = met.withColumns({"lo": F.min("doc").over(of), "hi": F.max("doc").over(of), "ranked": F.max("many").over(of) | (F.min("content").over(of) != F.max("content").over(of)), "met": F.max("many").over(of)}).where("key IS NULL OR lo <> hi OR met")
+    judged = met.withColumn("gone", F.col("key").isNull() | (F.col("doc") > F.min("doc").over(Window.partitionBy("at", "content"))))
+    judged = cut(judged.where("gone OR ranked").select("key", "doc", "start", "size", "gone"))
+    wanted = judged.where("NOT gone").groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("key", "start", "size")).alias("runs"))
+    dealt = rows.join(wanted, "doc_id").mapInArrow(snippets, SNIPPETS).repartition("key").sortWithinPartitions("key", "doc", "start")
+    marked = cut(dealt.mapInArrow(ranked_shards, "doc long, start long, end long"))
+    return marked.unionByName(judged.where("gone").select("doc", "start", (F.col("start") + F.col("size")).alias("end")))
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:

@@ -228,8 +228,26 @@ def brute_removed(texts):
     return out
 
 
+def passages(seed=2):
+    """Passages that stand in many texts, within others and cut at either end; lines that repeat in a text; exact copies."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdé") for _ in range(r.randrange(1, 7)))
+    shared = [" ".join(word() for _ in range(n)) for n in (12, 20, 60)]
+    out = {}
+    for i in range(120):
+        parts = [" ".join(word() for _ in range(r.randrange(1, 25)))]
+        for _ in range(r.randrange(3)):
+            x = r.choice(shared)
+            parts += [x[r.choice((0, 0, 7)) : r.choice((None, None, -9))], " ".join(word() for _ in range(r.randrange(4)))]
+        out[i] = ("\n" if i % 3 else " ").join(parts * r.choice((1, 1, 1, 4)))
+        if i % 10 == 9:
+            out[i] = out[r.randrange(i)]
+    return out
+
+
 def test_suffixes(spark, real, docs, empty):
-    for df in (real, docs.where("doc_id IS NOT NULL")):
+    apart = spark.createDataFrame(list(passages().items()), "doc_id long, text string").repartition(9, "doc_id")
+    for df in (real, real.repartition(5, "doc_id"), apart, docs.where("doc_id IS NOT NULL")):
         texts = {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
         got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.dedup_substrings(df).collect()}
         assert got == brute_removed(texts)
