@@ -128,7 +128,7 @@ PLANS = {
     "n11_common_authorities": (["edge"], lambda d: "SELECT a.src AS a, b.src AS b, count(*) AS shared FROM edge a JOIN edge b ON a.dst = b.dst AND a.src < b.src GROUP BY a.src, b.src"),
     "n12_citing_items": (["edge"], lambda d: "SELECT DISTINCT e.dst, f.src AS citing_at_two FROM edge e JOIN edge f ON f.dst = e.src"),
     "n13_shortest_path": (["edge"], lambda d: ", hop AS (SELECT src, dst, 1 AS n FROM edge UNION ALL SELECT e.src, f.dst, 2 FROM edge e JOIN edge f ON f.src = e.dst AND f.dst <> e.src) SELECT src, dst, min(n) AS hops FROM hop GROUP BY src, dst"),
-    "n14_edge_strength": (["lineitem", "node"], lambda d: "SELECT a.l_partkey AS a, b.l_partkey AS b, sum(CASE WHEN a.l_linenumber % 5 = 0 THEN 2 ELSE 1 END) * 1.0 AS strength FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 WHERE a.l_orderkey % 13 = 0 GROUP BY a.l_partkey, b.l_partkey"),
+    "n14_edge_strength": (["lineitem", "node"], lambda d: "SELECT a.l_partkey AS a, b.l_partkey AS b, sum(CASE WHEN a.l_linenumber % 5 = 0 THEN 2 ELSE 1 END) * 1.0 AS strength FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 GROUP BY a.l_partkey, b.l_partkey"),
     "n15_foundational": (["in_degree"], lambda d: "SELECT section, CAST(decile AS INT) AS impact FROM (SELECT section, ntile(10) OVER (ORDER BY cited_by_count, section) AS decile FROM in_degree) x WHERE decile > 7"),
     "w06_sequence_ids": (["out_degree"], lambda d: "SELECT section, 'complex_' || CAST(row_number() OVER (ORDER BY section) - 1 AS STRING) AS chain_id FROM out_degree WHERE reference_count >= 3"),
 }
