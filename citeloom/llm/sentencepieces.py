@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import pyarrow as pa
@@ -298,8 +298,8 @@ def loaded(proto: bytes) -> Pieces:
     return LOADED[key]
 
 
-def encode(docs: DataFrame, model: str) -> DataFrame:
-    """(doc_id, ids, n_ids, exact) for each row of docs; model: path of a .model file that the driver can read.
+def encode(docs: DataFrame, model: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, ids, n_ids, exact, keep...) for each row of docs; model: path of a .model file that the driver can read.
 
     ids are SentencePiece's own for the whole text (null for a null text, none for an empty one). exact tells
     whether decoding them gives the text again; U+2581 itself comes back as a space. Each row stands alone:
@@ -329,9 +329,10 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                     exact.append(decode_ids(p, ids) == text.replace(SPACE, " "))
                 valid = pa.array([c is None for c in count])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]), mask=valid)
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(count, pa.int64()), pa.array(exact, pa.bool_())], names=["doc_id", "ids", "n_ids", "exact"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(count, pa.int64()), pa.array(exact, pa.bool_()), *batch.columns[2:]], names=["doc_id", "ids", "n_ids", "exact", *keep])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, n_ids long, exact boolean")
+    kinds = dict(docs.dtypes)
+    return docs.select("doc_id", "text", *keep).mapInArrow(run, ", ".join([f"doc_id {kinds['doc_id']}, ids array<int>, n_ids long, exact boolean", *(f"{c} {kinds[c]}" for c in keep)]))
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeloom.llm.common import cut
 from citeloom.llm.jaccard import keep_one_of_each
-from citeloom.llm.mixing import mixed
+from citeloom.llm.mixing import in_order, mixed
 from citeloom.llm.pii import pseudonymise
 from citeloom.llm.quality import quality_filter
 from citeloom.llm.queries import PII_KEY, TOKENIZERS, WEIGHTS
@@ -34,8 +34,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
-    return encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    """Token ids of each document, and its position in the mix: the place of its row in the files."""
+    return encode(in_order(docs), f"{TOKENIZERS}/piece_bpe_32k.model", ["position"])
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mixing", mixing), ("encoding", encoding)]
