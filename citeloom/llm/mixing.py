@@ -1,6 +1,6 @@
 """Mixing sources to target weights by Pfair scheduling of blocks.
 
-Each lane (a weighted source; the other sources share one lane) is dealt in blocks. Block i of a lane with
+Each source is a lane of its own, with the weight named for it or else the default one, and is dealt in blocks. Block i of a lane with
 the share w of all slots is released at floor(i / w) and due at ceil((i + 1) / w); in each slot, the released
 block with the earliest deadline is placed. On one sequence this meets every deadline, so that after any
 number of slots a lane is less than one block away from its share. The schedule repeats with the sum of the
@@ -10,6 +10,7 @@ lane is used up, a new epoch schedules the lanes that are left by their own weig
 
 from __future__ import annotations
 
+import heapq
 import re
 
 from pyspark.errors import AnalysisException
@@ -26,13 +27,20 @@ def period(weights: dict[int, int]) -> list[int]:
     """The lane of each slot of one period, by earliest deadline first; ties go to the smaller lane."""
     total = sum(weights.values())
     placed = dict.fromkeys(weights, 0)
+    coming = [(0, k) for k in weights]
+    heapq.heapify(coming)
+    released: list[tuple[int, int]] = []
     slots = []
     for t in range(total):
-        released = [(-(-(placed[k] + 1) * total // w), k) for k, w in weights.items() if placed[k] * total // w <= t and placed[k] < w]
-        due, lane = min(released)
+        while coming and coming[0][0] <= t:
+            k = heapq.heappop(coming)[1]
+            heapq.heappush(released, (-(-(placed[k] + 1) * total // weights[k]), k))
+        due, lane = heapq.heappop(released)
         if due <= t:
             raise AssertionError("a deadline was missed")
         placed[lane] += 1
+        if placed[lane] < weights[lane]:
+            heapq.heappush(coming, (placed[lane] * total // weights[lane], lane))
         slots.append(lane)
     return slots
 
@@ -48,7 +56,9 @@ def epochs(blocks: dict[int, int], tail: dict[int, int], weights: dict[int, int]
     while live := {k: weights[k] for k in blocks if done[k] < blocks[k]}:
         order = period(live)
         total = len(order)
-        at = {k: [i for i, lane in enumerate(order) if lane == k] for k in live}
+        at: dict[int, list[int]] = {k: [] for k in live}
+        for i, lane in enumerate(order):
+            at[lane].append(i)
         for k in live:
             out.append({"lane": k, "first": done[k], "slot": slot, "row": row, "total": total, "at": at[k]})
         # the slot, in this epoch, of each lane's last block: the earliest of these ends the epoch
@@ -64,18 +74,19 @@ def epochs(blocks: dict[int, int], tail: dict[int, int], weights: dict[int, int]
 def placed(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows: int = 16, buckets: int = 256, keep: list[str] = ()) -> DataFrame:
     """(keep..., doc_id, source, block, slot, position) for each row of docs.
 
-    weights: slots of each named source, and rest those of all others (null ones too) together. position is
-    gapless from 0 and is the order of the mix. Within a lane, rows are in the order of a hash of doc_id, so
+    weights: slots of each named source, and rest those of each other one; null is a source too. While no source
+    is used up, each is less than a block away from its share after any number of slots; from then on the same
+    holds of the sources left. position is gapless from 0 and is the order of the mix. Within a lane, rows are in the order of a hash of doc_id, so
     that neighbours are mixed; they are ranked in hash buckets, so no task holds a lane. The driver gets the
-    row counts of lanes by bucket, at most (len(weights) + 1) * buckets rows. Repeated rows and null ids
+    row counts of lanes by bucket, at most MOST_LANES * buckets rows; more sources than that are an error. Repeated rows and null ids
     have places of their own; an empty table gives an empty result.
     """
-    if len(weights) >= MOST_LANES or sum(weights.values()) + rest > MOST_SLOTS or min([rest, *weights.values()]) < 1:
-        raise ValueError(f"under {MOST_LANES} sources, weights of at least 1, {MOST_SLOTS} slots in all")
-    names = sorted(weights)
-    lane_weights = {i: weights[k] for i, k in enumerate(names)} | {len(names): rest}
-    lane = F.coalesce(F.array_position(F.lit(names).cast("array<string>"), F.col("source")) - 1, F.lit(-1)).cast("int")
-    lane = F.when(lane < 0, len(names)).otherwise(lane)
+    others = [r.source for r in docs.select("source").where(F.col("source").isNull() | ~F.col("source").isin(*weights)).distinct().limit(MOST_LANES + 1).collect()]
+    names = sorted(weights) + sorted(x for x in others if x is not None)
+    lane_weights = {i: weights.get(k, rest) for i, k in enumerate(names)} | ({len(names): rest} if None in others else {})
+    if len(lane_weights) > MOST_LANES or sum(lane_weights.values()) > MOST_SLOTS or min([rest, *weights.values()]) < 1:
+        raise ValueError(f"{MOST_LANES} sources at most, weights of at least 1, {MOST_SLOTS} slots in all")
+    lane = F.when(F.col("source").isNull(), len(names)).otherwise(F.array_position(F.lit(names).cast("array<string>"), F.col("source")) - 1).cast("int")
     rows = docs.select(*(F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)), "doc_id", "source", lane.alias("lane"), F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(buckets)).cast("int").alias("bucket"))
     counts = rows.groupBy("lane", "bucket").agg(F.count("*").alias("n")).collect()
     totals: dict[int, int] = {}

@@ -23,7 +23,7 @@ from citeloom.llm.urls import filter_urls, fit, labelled_urls
 #: Where the public tokenizers are, and the pseudonyms' key: parameters of the deployment.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 PII_KEY = os.environ.get("PII_KEY", "example key")
-#: Slots of each source in a mix; every other source shares one slot.
+#: Slots of these sources in a mix; every other source has one of its own.
 WEIGHTS = {"src0": 5, "src1": 3, "src2": 3, "src3": 2, "src4": 2}
 
 
