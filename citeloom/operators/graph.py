@@ -73,6 +73,32 @@ def pagerank(edges: DataFrame, nodes: DataFrame, rounds: int = 10, damping: floa
     return ranks.select("section", F.round("rank", 9).alias("rank"))
 
 
+def shortest(edges: DataFrame) -> DataFrame:
+    """(src, dst, hops, path) for each two different sections of which src leads to dst; path is joined by '>'.
+
+    All starts go a level at a time, until no new pair is found. Of the shortest paths, the one is taken whose
+    last step is from the smallest section, and so on backwards. Sections are numbered in their order, so that
+    what a level finds is aggregated as numbers; paths are made only for its new pairs.
+    """
+    names = edges.select(F.col("src").alias("section")).union(edges.select("dst")).distinct()
+    names = cut(names.select("section", F.row_number().over(Window.orderBy("section")).alias("id")))
+    of = lambda c: names.select(F.col("section").alias(c), F.col("id").alias(c[0]))
+    steps = cut(edges.where("src <> dst").select("src", "dst").distinct().join(of("src"), "src").join(of("dst"), "dst").select(F.col("s").alias("via"), F.col("d").alias("to"), "src", "dst"))
+    front = cut(steps.select(F.col("via").alias("from"), "to", F.lit(1).alias("hops"), F.concat_ws(">", "src", "dst").alias("path")))
+    levels, seen = [front], front.select("from", "to")
+    while not front.isEmpty():
+        ahead = front.select("from", F.col("to").alias("via")).join(steps.select("via", "to"), "via").where(F.col("from") != F.col("to"))
+        new = ahead.groupBy("from", "to").agg(F.min("via").alias("via")).join(seen, ["from", "to"], "left_anti")
+        before = front.select("from", F.col("to").alias("via"), "hops", "path")
+        front = cut(new.join(before, ["from", "via"]).join(names, F.col("to") == F.col("id")).select("from", "to", (F.col("hops") + 1).alias("hops"), F.concat_ws(">", "path", "section").alias("path")))
+        levels.append(front)
+        seen = seen.unionByName(front.select("from", "to"))
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionByName(level)
+    return found.select(F.substring_index("path", ">", 1).alias("src"), F.substring_index("path", ">", -1).alias("dst"), "hops", "path")
+
+
 def n01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chains(relation(spark, sf_dir, "edge"), relation(spark, sf_dir, "node"))
 
@@ -101,11 +127,15 @@ def n08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagerank(relation(spark, sf_dir, "edge"), relation(spark, sf_dir, "node"))
 
 
+def n13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shortest(relation(spark, sf_dir, "edge"))
+
+
 def g17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n01(spark, sf_dir).groupBy("start").agg(F.count("*").alias("depth")).groupBy("depth").agg(F.count("*").alias("n_chains"))
 
 
-PROGRAMS = {"n01_chains": n01, "n02_chain_cover": n02, "n04_chain_texts": n04, "n05_truncated_chains": n05, "n08_pagerank": n08, "g06_categories": g06, "g17_chain_depths": g17}
+PROGRAMS = {"n01_chains": n01, "n02_chain_cover": n02, "n04_chain_texts": n04, "n05_truncated_chains": n05, "n08_pagerank": n08, "n13_shortest_path": n13, "g06_categories": g06, "g17_chain_depths": g17}
 PROGRAM_SQL: dict = {}
 
 PATHS = """, five AS (SELECT src, dst FROM ranked_edge WHERE nth <= 5), leaf AS (SELECT section FROM node WHERE section NOT IN (SELECT src FROM edge)),
@@ -127,7 +157,6 @@ PLANS = {
     "n10_authority_level": (["in_degree"], lambda d: "SELECT section, CASE WHEN cited_by_count > 50 THEN 'very-high' WHEN cited_by_count > 20 THEN 'high' WHEN cited_by_count > 5 THEN 'medium' ELSE 'low' END AS level FROM in_degree"),
     "n11_common_authorities": (["edge"], lambda d: "SELECT a.src AS a, b.src AS b, count(*) AS shared FROM edge a JOIN edge b ON a.dst = b.dst AND a.src < b.src GROUP BY a.src, b.src"),
     "n12_citing_items": (["edge"], lambda d: "SELECT DISTINCT e.dst, f.src AS citing_at_two FROM edge e JOIN edge f ON f.dst = e.src"),
-    "n13_shortest_path": (["edge"], lambda d: ", hop AS (SELECT src, dst, 1 AS n FROM edge UNION ALL SELECT e.src, f.dst, 2 FROM edge e JOIN edge f ON f.src = e.dst AND f.dst <> e.src) SELECT src, dst, min(n) AS hops FROM hop GROUP BY src, dst"),
     "n14_edge_strength": (["lineitem", "node"], lambda d: "SELECT a.l_partkey AS a, b.l_partkey AS b, sum(CASE WHEN a.l_linenumber % 5 = 0 THEN 2 ELSE 1 END) * 1.0 AS strength FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 GROUP BY a.l_partkey, b.l_partkey"),
     "n15_foundational": (["in_degree"], lambda d: "SELECT section, CAST(decile AS INT) AS impact FROM (SELECT section, ntile(10) OVER (ORDER BY cited_by_count, section) AS decile FROM in_degree) x WHERE decile > 7"),
     "w06_sequence_ids": (["out_degree"], lambda d: "SELECT section, 'complex_' || CAST(row_number() OVER (ORDER BY section) - 1 AS STRING) AS chain_id FROM out_degree WHERE reference_count >= 3"),
