@@ -1,64 +1,88 @@
-"""Substring dedup by line hashing: of equal lines, the earliest ranked one stays, in all documents together."""
+"""Substring dedup by line hashing: of equal lines and sentences, the earliest ranked one stays, in all documents together."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import SPACES, cut, ship, small_side
+from citeloom.llm.common import SPACES, cut, ship
 
-#: Shorter lines may recur.
+#: Shorter lines and sentences may recur.
 MIN_WORDS = 5
 
+#: What parts the sentences of a line.
+BETWEEN = r"(?<=[.!?])" + SPACES
+
 
 def normalised(line: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(line, SPACES, " ")))
 
 
-def repeated_lines(docs: DataFrame, rank: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, gone): for each document that loses lines, their numbers from 0."""
+def repeated_units(docs: DataFrame, rank: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, gone): for each document that loses text, the units that go: line n from 0 as n * 2^32, its sentences as that and 1 on."""
     lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col(rank).alias("rank"), F.posexplode(F.split("text", "\n", -1)).alias("n", "line"))
-    words = F.size(F.split(F.col("line"), " ", -1))
-    units = lines.withColumn("line", normalised(F.col("line"))).where(words >= min_words).select(F.unhex(F.md5("line")).alias("digest"), F.struct("rank", "doc_id", "n").alias("at"))
+    sentences = F.split("line", BETWEEN, -1)
+    parts = F.when(F.size(sentences) > 1, F.concat(F.array("line"), sentences)).otherwise(F.array("line"))
+    units = lines.select("doc_id", "rank", "n", F.posexplode(parts).alias("s", "unit")).select("doc_id", "rank", (F.col("n").cast("long") * 2**32 + F.col("s")).alias("place"), "unit").withColumn("unit", normalised(F.col("unit")))
+    words = F.size(F.split(F.col("unit"), " ", -1))
+    units = cut(units.where(words >= min_words).select(F.unhex(F.md5("unit")).alias("digest"), F.struct("rank", "doc_id", "place").alias("at")))
     first = units.groupBy("digest").agg(F.min("at").alias("first"), F.count("*").alias("times")).where("times > 1").select("digest", "first")
-    return units.join(small_side(cut(first)), "digest").where("at <> first").groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.array_sort(F.collect_set("at.n")).alias("gone"))
+    return units.join(cut(first).hint("merge"), "digest").where("at <> first").groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.array_sort(F.collect_set("at.place")).alias("gone"))
 
 
-def without(text: str, gone: set[int]) -> tuple[str, list[tuple[int, int]], int]:
-    """The text without some of its lines, the offsets of what went, and the number of lines."""
+def without(text: str, gone: set[tuple[int, int]]) -> tuple[str, list[tuple[int, int]], int, int]:
+    """The text without some of its units, the offsets of what went, the number of lines and that of the units that went."""
     lines = text.split("\n")
-    kept, spans, at = [], [], 0
+    kept, spans, at, units = [], [], 0, 0
+    inside = {n for n, s in gone if s and (n, 0) not in gone}
+
+    def go(a: int, b: int) -> None:
+        nonlocal units
+        units += 1
+        if spans and spans[-1][1] == a:
+            spans[-1] = (spans[-1][0], b)
+        else:
+            spans.append((a, b))
+
     for n, line in enumerate(lines):
-        end = min(at + len(line) + 1, len(text))
-        if n in gone:
-            if spans and spans[-1][1] == at:
-                spans[-1] = (spans[-1][0], end)
-            else:
-                spans.append((at, end))
+        if (n, 0) in gone:
+            go(at, min(at + len(line) + 1, len(text)))
+        elif n in inside:
+            ends = [m.end() for m in re.finditer(BETWEEN, line)]
+            stays = []
+            for s, (a, b) in enumerate(zip([0, *ends], [*ends, len(line)], strict=True), 1):
+                if (n, s) in gone:
+                    go(at + a, at + b)
+                else:
+                    stays.append(line[a:b])
+            kept.append("".join(stays))
         else:
             kept.append(line)
         at += len(line) + 1
-    return "\n".join(kept), spans, len(lines)
+    return "\n".join(kept), spans, len(lines), units
 
 
 def dedup_lines(docs: DataFrame, rank: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text, n_lines, n_removed, removed) for each row of docs.
 
-    Lines are compared without regard to case and to the amount of white space. Of lines of min_words or
-    more that are equal, the first by (rank, doc_id, number in the text) stays and the others go, from the
-    same text too. removed has the offsets, in characters of the text as it came, of what went, line breaks
-    included. A null text stays null; rows with a null doc_id or a null rank in an equal place take no part
+    Units are lines and, in lines of more than one, sentences; a sentence ends with . ! or ? before white
+    space. They are compared without regard to case and to the amount of white space. Of units of min_words
+    or more that are equal, the first by (rank, doc_id, place in the text) stays and the others go, from the
+    same text too. n_removed counts the lines that went, and the sentences that went from other lines.
+    removed has the offsets, in characters of the text as it came, of what went, with a line's break and the
+    white space after a sentence. A null text stays null; rows with a null doc_id or a null rank in an equal place take no part
     and stay whole; repeated rows of one doc_id are one document and lose the same lines.
 
-    A line is shuffled as a digest of 16 bytes and its place, and counted map-side, so a common line is a
-    few rows. The repeated digests are a narrow checkpoint; beyond a counted size the joins shuffle, and
-    Spark splits the hot ones.
+    A unit is shuffled as a digest of 16 bytes and its place, and counted map-side, so a common line is a
+    few rows. Units and repeated digests are narrow checkpoints, so texts are parted once;
+    both grow with the input, so the joins shuffle at any size, and Spark splits hot digests.
     """
-    gone = cut(repeated_lines(docs, rank, min_words))
-    rows = docs.select("doc_id", "text").join(small_side(gone), "doc_id", "left")
+    gone = cut(repeated_units(docs, rank, min_words))
+    rows = docs.select("doc_id", "text").join(gone.hint("merge"), "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -72,8 +96,7 @@ def dedup_lines(docs: DataFrame, rank: str = "doc_id", min_words: int = MIN_WORD
                     elif not numbers:
                         out.append((text, [], text.count("\n") + 1, 0))
                     else:
-                        kept, spans, n = without(text, set(numbers))
-                        out.append((kept, spans, n, len(numbers)))
+                        out.append(without(text, {divmod(x, 2**32) for x in numbers}))
                 spans = pa.array([[{"start": a, "end": b} for a, b in o[1]] for o in out], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([o[0] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.int64()), spans], names=["doc_id", "text", "n_lines", "n_removed", "removed"])
 
