@@ -48,7 +48,7 @@ def relations(d: Spark) -> dict[str, tuple[list[str], str]]:
         ),
         "case_edge": (
             ["courtcase"],
-            "SELECT a.case_id AS src, min(b.case_id) AS dst FROM courtcase a JOIN courtcase b ON a.o_custkey = b.o_custkey AND b.case_id > a.case_id GROUP BY a.case_id",
+            "SELECT DISTINCT a.case_id AS src, b.case_id AS dst FROM courtcase a JOIN courtcase b ON a.o_custkey = b.o_custkey AND b.case_id <> a.case_id",
         ),
         "rule": (
             ["supplier", "node"],
