@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from citeloom.llm.common import let
 
 ROUNDS = 10
-#: What is looked for, in this order at each place. Fixed formats.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+#: What is looked for, in this order at each place. Fixed formats. A repeated group is matched by recursion, so each has a bound
+#: (a domain name has 127 labels of 63 characters at most); what may be long is a run of single characters.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
 SECRET = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Z])|(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\x22']?[A-Za-z0-9+/_-]{8,})"
 PHONE = r"(?<![0-9A-Za-z.+-])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
 DATE = r"(?<![0-9A-Za-z.-])[0-9]{4}(?<d>[-/.])[0-9]{2}\k<d>[0-9]{2}(?![0-9A-Za-z-])"

@@ -139,12 +139,14 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The rows of docs that quality_report keeps, with all their columns.
+    """The rows of docs that quality_report keeps, with all their columns, whatever their names.
 
-    Texts are measured twice, for the limits and for the filter: that takes CPU time but no shuffle of texts.
+    Rows and their measures are written once to the checkpoint folder, each as one column, so that each text
+    is measured once: the limits read the measures alone, and the filter joins them to the rows. The limits
+    are a row for each language and source, broadcast if counted small; else Spark splits a hot source.
     """
-    limits = thresholds(cut(with_metrics(docs.select("text", "lang", "source")).select("q_m.*").where(~F.col("base_failed")).select("lang", "source", *METRICS)))
-    side = small_side(cut(limits.select(F.col("lang").alias("q_lang"), F.col("source").alias("q_source"), F.col("limits").alias("q_limits"))))
-    judged = with_metrics(docs)
-    on = (F.col("q_m.lang") == F.col("q_lang")) & (F.col("q_m.source") == F.col("q_source"))
-    return judged.join(side, on).where(verdict(F.col("q_m"), F.col("q_limits"))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    measured = cut(with_metrics(docs.select(whole, *(F.col(f"`{c}`") for c in ("text", "lang", "source")))).select("whole", F.struct("q_m.base_failed", *(f"q_m.{k}" for k in METRICS)).alias("m"), "q_m.lang", "q_m.source"))
+    limits = thresholds(measured.where("NOT m.base_failed").select("lang", "source", *(f"m.{k}" for k in METRICS)))
+    judged = measured.where("NOT m.base_failed").join(small_side(cut(limits)), ["lang", "source"])
+    return judged.where(verdict(F.col("m"), F.col("limits"))).select(*(F.col("whole")[c].alias(c) for c in docs.columns))
