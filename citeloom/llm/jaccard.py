@@ -34,8 +34,8 @@ WHOLE, PART = 64, 500
 ASKED = 64
 #: Members in a side of a tile, when groups are compared whole.
 SIDE = 128
-#: Text bytes hashed at once.
-CHUNK = 2_000_000
+#: Text bytes hashed at once, list entries joined at once, and rows given out at once.
+CHUNK, HELD, ROWS = 2_000_000, 400_000, 20_000
 #: Blocks for each element in which linked sets can differ: the more there are, the more long lists are skipped.
 SPARE = 1.15
 #: In a tag, a level stands above the number of lists to skip.
@@ -138,7 +138,7 @@ def as_long(x: np.ndarray) -> np.ndarray:
 
 def facts_batch(kind: str, key, a, b=None, n=None) -> pa.RecordBatch:  # noqa: ANN001
     size = len(a)
-    column = lambda x: pa.nulls(size, pa.int64()) if x is None else pa.array(x, pa.int64())
+    column = lambda x: pa.nulls(size, pa.int64()) if x is None else x if isinstance(x, pa.Array) else pa.array(x, pa.int64())
     return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.string()), column(key), column(a), column(b), column(n)], names=["kind", "key", "a", "b", "n"])
 
 
@@ -157,42 +157,56 @@ def gathered(facts: pa.RecordBatch, sizes=None, ids=None, tags=None) -> pa.Recor
 
 
 def gather(k: int, t: tuple[int, int]):  # noqa: ANN201
-    """For texts: facts N (size of a's set), L (a and b have equal sets) and P (n sets are in the list key: a with tag b, and ids with tags).
+    """For texts: facts N (size n of the set of a row of a), L (a and b have equal sets) and P (n sets are in the list key: a with tag b, and ids with tags).
 
-    What a batch can join itself it joins: equal sets are one from then on, and a list gets one entry with all
-    its sets in the batch. So hot lists are pre-aggregated.
+    What a task can join itself it joins, up to HELD entries at a time: equal sets are one from then on, and a
+    list gets one entry with all its sets. So hot lists are pre-aggregated. A row with a null id has N alone.
     """
 
+    def lists(held: list) -> Iterator[pa.RecordBatch]:
+        keys, owners, tags = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((owners, keys))
+        keys, owners, tags = keys[order], owners[order], tags[order]
+        edges = np.r_[np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]), len(keys)]
+        for i in range(0, len(edges) - 1, ROWS):  # batches of bounded size, as the JVM takes each one whole
+            part = edges[i : i + ROWS + 1]
+            at, rest = part[:-1], np.ones(part[-1] - part[0], bool)
+            rest[at - part[0]] = False
+            here = slice(part[0], part[-1])
+            n = np.diff(part)
+            yield gathered(facts_batch("P", as_long(keys[at]), owners[at], tags[at], n), n - 1, owners[here][rest], tags[here][rest])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, alike = [], 0, {}
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            sizes, found, alike, equal = [], [], {}, []
+            known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            ids = batch.column(0).fill_null(0).to_numpy()
             for start, texts in chunks(batch, 1):
                 sets = shingle_sets(texts, k)
-                sizes += [len(s) for s in sets]
-                keep = []
+                rows = slice(start, start + len(texts))
+                yield gathered(facts_batch("N", None, pa.array(ids[rows], mask=~known[rows]), n=np.array([len(s) for s in sets], np.int64)))
+                keep, equal = [], []
                 for i, s in enumerate(sets):
-                    if len(s):
+                    if len(s) and known[start + i]:
                         digest = (len(s), int(mix(s).sum(dtype=np.uint64)), int(mix(s * np.uint64(3)).sum(dtype=np.uint64)))
-                        other = alike.setdefault(digest, start + i)
-                        if other == start + i:
+                        mine = int(ids[start + i])
+                        other = alike.setdefault(digest, mine)
+                        if other == mine:
                             keep.append(i)
                         else:
-                            equal.append((other, start + i))
+                            equal.append((other, mine))
+                if equal:
+                    pairs = np.array(equal, np.int64)
+                    yield gathered(facts_batch("L", None, pairs[:, 0], pairs[:, 1]))
                 keys, owners, tags = blocks([sets[i] for i in keep], t)
-                found.append((keys, start + np.array(keep, np.int64)[owners] if len(keep) else owners, tags))
-            yield gathered(facts_batch("N", as_long(mix(ids.astype(np.uint64))), ids, n=np.array(sizes, np.int64)))
-            if equal:
-                pairs = ids[np.array(equal)]
-                yield gathered(facts_batch("L", as_long(mix(pairs[:, 1].astype(np.uint64))), pairs[:, 0], pairs[:, 1]))
-            keys, owners, tags = (np.concatenate(x) for x in zip(*found, strict=True))
-            if len(keys):
-                owners = ids[owners]
-                order = np.lexsort((owners, keys))
-                keys, owners, tags = keys[order], owners[order], tags[order]
-                first = np.r_[True, keys[1:] != keys[:-1]]
-                n = np.diff(np.r_[np.flatnonzero(first), len(keys)])
-                yield gathered(facts_batch("P", as_long(keys[first]), owners[first], tags[first], n), n - 1, owners[~first], tags[~first])
+                if len(keys):
+                    held.append((keys, ids[start + np.array(keep, np.int64)[owners]], tags))
+                    size += len(keys)
+                if size > HELD:
+                    yield from lists(held)
+                    held, size, alike = [], 0, {}
+        if held:
+            yield from lists(held)
 
     return run
 
@@ -236,7 +250,8 @@ def tiles(k: int, t: tuple[int, int]):  # noqa: ANN201
                         if held:
                             yield from links(at[1], at[2], held)
                         at, held = here, []
-                    held.append((part[r], ids[r], s))
+                    if len(s):  # another text of its id may be empty
+                        held.append((part[r], ids[r], s))
         if held:
             yield from links(at[1], at[2], held)
 
@@ -275,8 +290,8 @@ def differences(k: int, t: tuple[int, int]):  # noqa: ANN201
     threshold t0 / t1: x and y are linked if (t0 + t1) |Dx & Dy| >= weight x + weight y - (t1 - t0) |hub|.
     Fact Z: a of group b has the weight key, and may be linked without a shared difference; n is the right
     side's last term. Fact D: key is one of a's differences, or of its lists, in the group b. n tells whether
-    all sets that can be linked to a share one of such elements with it: 1 yes, 0 not needed, 2 yes, unless a
-    turns out to be linked by its weight.
+    all sets that can be linked to a share one of such elements with it: 1 yes, 0 not needed; over 1 yes,
+    unless the least weight of the group is n - 2 or less, which links a without a comparison.
     """
 
     def of(grp: int, hub: np.ndarray, x: int, s: np.ndarray, out: dict, far: list) -> None:
@@ -290,7 +305,7 @@ def differences(k: int, t: tuple[int, int]):  # noqa: ANN201
             d = np.setxor1d(hub, s, assume_unique=True)
             out["key"].append(d)
             out["a"].append(np.full(len(d), x))
-            out["n"].append(np.full(len(d), 2) if lacks <= 0 else (np.arange(len(d)) <= len(d) - lacks).astype(np.int64))
+            out["n"].append(np.full(len(d), 2 + room - weight) if lacks <= 0 else (np.arange(len(d)) <= len(d) - lacks).astype(np.int64))
         if share < NEAR + 1 - t[0] / t[1]:
             far.append((x, s))
 
@@ -350,13 +365,13 @@ def compared_with_hub(docs: DataFrame, groups: DataFrame, k: int, t: tuple[int,
     dealt = members.unionByName(first).repartition("grp", "salt").sortWithinPartitions("grp", "salt", F.col("hub").isNull(), "doc_id")
     found = cut(dealt.mapInArrow(differences(k, t), FACTS))
     weights = found.where("kind = 'Z'").select(F.col("b").alias("grp"), "a", F.col("key").alias("weight"), F.col("n").alias("room"))
-    best = weights.groupBy("grp").agg(F.min(F.struct("weight", "a")).alias("best"))
-    core = cut(weights.join(small_side(best), "grp").where("weight + best.weight <= room").select("grp", "a", F.col("best.a").alias("b")))
-    lists = found.where("kind = 'D'").select(F.col("b").alias("grp"), "key", "a", F.col("n").alias("flag")).join(small_side(core.select("grp", "a", F.lit(True).alias("linked"))), ["grp", "a"], "left")
-    lists = cut(lists.select("grp", "key", "a", ((F.col("flag") == 1) | ((F.col("flag") == 2) & F.col("linked").isNull())).alias("asks")))
+    best = small_side(cut(weights.groupBy("grp").agg(F.min(F.struct("weight", "a")).alias("best"))))
+    core = weights.join(best, "grp").where("weight + best.weight <= room").select("a", F.col("best.a").alias("b"))
+    lists = found.where("kind = 'D'").select(F.col("b").alias("grp"), "key", "a", F.col("n").alias("flag")).join(best, "grp", "left")
+    asks = (F.col("flag") == 1) | ((F.col("flag") > 1) & (F.col("best.weight").isNull() | (F.col("flag") - 2 < F.col("best.weight"))))
+    lists = cut(lists.select("grp", "key", "a", asks.alias("asks")))
     led = lists.groupBy("grp", "key").agg(F.min(F.when(F.col("asks"), F.col("a"))).alias("lead"), F.min("a").alias("lo"), F.max("a").alias("hi")).where("lead IS NOT NULL AND lo <> hi").select("grp", "key", "lead")
-    edges = cut(lists.join(small_side(cut(led)), ["grp", "key"]).where("lead <> a").select("lead", F.col("a").alias("b")).distinct().withColumnRenamed("lead", "a"))
-    return core.select("a", "b"), edges
+    return core, lists.join(led, ["grp", "key"]).where("lead <> a").select(F.col("lead").alias("a"), F.col("a").alias("b"))
 
 
 def sized(members: DataFrame) -> DataFrame:
@@ -367,15 +382,17 @@ def sized(members: DataFrame) -> DataFrame:
 def shared_lists(lists: DataFrame) -> DataFrame:
     """(a, b) for each list that two sets have and neither skips: a is the smallest id in it, b another.
 
-    lists has (key, long, a, b, n, ids, tags): entries of a list of long sets in all. A set skips its longest.
+    lists has (key, a, b, n, ids, tags). Lengths are counted apart, with partial sums, and joined to the entries:
+    no task gathers a list. A set skips its longest ones.
     """
     none = F.array().cast("array<long>")
+    long = lists.groupBy("key").agg(F.sum("n").alias("long")).where("long > 1")
     each = F.arrays_zip(F.concat(F.array("a"), F.coalesce("ids", none)).alias("id"), F.concat(F.array("b"), F.coalesce("tags", none)).alias("tag"))
-    entries = lists.select("key", "long", F.explode(each).alias("e")).select("key", "long", F.col("e")["id"].alias("a"), F.col("e")["tag"].alias("tag"))
+    entries = lists.join(long, "key").select("key", "long", F.explode(each).alias("e")).select("key", "long", F.col("e")["id"].alias("a"), F.col("e")["tag"].alias("tag"))
     place = F.row_number().over(Window.partitionBy("a", "tag").orderBy(F.desc("long"), "key"))
     kept = cut(entries.withColumn("place", place).where(F.col("place") > F.col("tag").bitwiseAND((1 << LEVEL) - 1)).select("key", "a"))
-    led = cut(kept.groupBy("key").agg(F.min("a").alias("lead"), F.max("a").alias("last")).where("lead <> last").select("key", "lead"))
-    return cut(kept.join(small_side(led), "key").where("lead <> a").select(F.col("lead").alias("a"), F.col("a").alias("b")).distinct())
+    led = kept.groupBy("key").agg(F.min("a").alias("lead"), F.max("a").alias("last")).where("lead <> last").select("key", "lead")
+    return kept.join(led, "key").where("lead <> a").select(F.col("lead").alias("a"), F.col("a").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
@@ -384,36 +401,32 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] =
     Documents are linked if the Jaccard similarity of their sets of distinct k-word shingles is at least the
     threshold, a fraction over 2/3; component_id is the smallest doc_id reachable by links. A text with fewer
     than k words has its whole sequence as one shingle; a null text, or one without words, has none and no
-    links. Rows of one doc_id are one document. A null doc_id is linked with nothing. Shingles are compared by
-    64-bit hashes. An empty table gives an empty result.
+    links. n_shingles is of the row's own text. Rows of one doc_id are one document, which has the links of all
+    their texts; so each of them is in its component. A row with a null doc_id is linked with nothing and has a
+    null component_id. Shingles are compared by 64-bit hashes. An empty table gives an empty result.
     """
     if not 2 * threshold[1] < 3 * threshold[0] <= 3 * threshold[1]:
         raise ValueError("the threshold is over 2/3 and at most 1")
     ship(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = rows.where("doc_id IS NOT NULL")
-    long = F.sum(F.when(F.col("kind") == "P", F.col("n"))).over(Window.partitionBy("key"))
-    facts = cut(known.mapInArrow(gather(k, threshold), GATHERED).withColumn("long", long).where("kind <> 'P' OR long > 1"))
-    edges = shared_lists(facts.where("kind = 'P'"))
+    facts = cut(rows.mapInArrow(gather(k, threshold), GATHERED))
+    edges = shared_lists(facts.where("kind = 'P'").select("key", "a", "b", "n", "ids", "tags"))
     links = facts.where("kind = 'L'").select("a", "b")
-    if not edges.isEmpty():
-        groups = sized(components(edges))
+    groups = sized(components(edges))
+    if not groups.isEmpty():
         links = links.unionByName(compared_whole(known, groups.where(F.col("size") <= WHOLE), k, threshold))
         large = groups.where(F.col("size") > WHOLE)
         if not large.isEmpty():
             core, edges = compared_with_hub(known, large, k, threshold)
-            links = links.unionByName(core)
-            if not edges.isEmpty():
-                links = links.unionByName(compared_whole(known, sized(components(edges)), k, threshold))
+            links = links.unionByName(core).unionByName(compared_whole(known, sized(components(edges)), k, threshold))
     classes = components(links)
-    sizes = facts.where("kind = 'N'").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles")).distinct()
-    placed = sizes.join(small_side(classes.withColumnRenamed("node", "doc_id")), "doc_id", "left")
-    unknown = rows.where("doc_id IS NULL").mapInArrow(gather(k, threshold), GATHERED).where("kind = 'N'").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component"))
-    return placed.unionByName(unknown).select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    sizes = facts.where("kind = 'N'").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"))
+    return sizes.join(small_side(classes.withColumnRenamed("node", "doc_id")), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
-    """docs without those that have a smaller doc_id in their component; all columns are kept."""
+    """docs without those that have a smaller doc_id in their component; all columns are kept. Rows with a null doc_id stay."""
     classes = jaccard_components(docs, k, threshold).where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
     gone = small_side(cut(classes))
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
