@@ -14,17 +14,19 @@ from array import array
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from citeloom.llm.common import ship
 
 SPACE = "▁"
-#: Entries of the caches of units and of pairs; a full cache starts anew, so that memory is bounded.
-CACHED = 300_000
+#: Entries of the cache of pairs, and characters of the units that are remembered; what is full starts anew, so that memory is bounded.
+CACHED, HELD = 300_000, 8_000_000
+#: Text bytes encoded at once.
+CHUNK = 2_000_000
 NEVER = float("inf")
-#: Longer parts are encoded as a stream and not remembered.
-SHORT = 64
 
 
 class Pieces:
@@ -39,8 +41,13 @@ class Pieces:
         plain = [i for i in range(n) if not (p.is_unknown(i) or p.is_control(i) or p.is_byte(i) or p.is_unused(i))]
         self.ids = {texts[i]: i for i in plain}
         self.ranks = {texts[i]: -p.get_score(i) for i in plain}
-        self.inner = {t[k : k + 2] for t in self.ids for k in range(len(t) - 1)}
-        self.heads = {t[:k] for t in self.ids for k in range(1, len(t) + 1)}
+        #: Nodes by their next character; a piece that ends at a node stands there at 0.
+        self.trie: dict = {}
+        for t in self.ids:
+            node = self.trie
+            for c in t:
+                node = node.setdefault(c, {})
+            node[0] = t
         self.byte_ids = {int(texts[i][3:5], 16): i for i in range(n) if p.is_byte(i)}
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
         self.unknown = p.unk_id()
@@ -52,9 +59,7 @@ class Pieces:
         self.prefix = SPACE if p.encode("a", out_type=str)[0].startswith(SPACE) else ""
         #: Whether spaces only begin pieces and no piece has a line break: then units can be encoded alone.
         self.parted = all(re.fullmatch(f"{SPACE}*[^{SPACE}\n]*", t) for t in self.ids)
-        self.units: dict[str, tuple[int, ...]] = {"": ()}
-        self.tails: dict[str, str] = {"": ""}
-        self.begun: dict[str, tuple[int, ...]] = {"": ()}
+        self.memo = Memo(self)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.edges: dict[str, tuple[list, list]] = {}
 
@@ -112,17 +117,19 @@ class Pieces:
 
 def send_out(p: Pieces, text: str, last: list[str | None], start: int, end: int) -> None:
     """Each place from start to end sends out the pieces that begin there; those that may stand behind its survivor survive."""
-    ids, heads, pairs, beside, n = p.ids, p.heads, p.pairs, p.beside, len(text)
+    trie, pairs, beside, n = p.trie, p.pairs, p.beside, len(text)
     for j in range(start, end):
-        before, i = last[j], j + 1
-        piece = text[j:i]
+        before, i, piece = last[j], j + 1, text[j]
+        node = trie.get(piece)
         if last[i] is None and (not before or pairs.get((before, piece)) or ((before, piece) not in pairs and beside(before, piece))):
             last[i] = piece
-        while i < n and piece in heads:
+        while node is not None and i < n:
+            node = node.get(text[i])
             i += 1
-            piece = text[j:i]
-            if last[i] is None and piece in ids and (not before or pairs.get((before, piece)) or ((before, piece) not in pairs and beside(before, piece))):
-                last[i] = piece
+            if node is not None and last[i] is None and 0 in node:
+                piece = node[0]
+                if not before or pairs.get((before, piece)) or ((before, piece) not in pairs and beside(before, piece)):
+                    last[i] = piece
 
 
 class Viterbi:
@@ -141,11 +148,12 @@ class Viterbi:
 
     def feed(self, more: str) -> list[str]:
         out: list[str] = []
-        step = 4 * self.p.longest
-        for k in range(0, len(more), step):
-            self.take(more[k : k + step])
-            self.send(len(self.text) - self.p.longest)
-            if self.at > 2 * self.p.longest:
+        longest = self.p.longest
+        for k in range(0, len(more), 4 * longest):
+            self.take(more[k : k + 4 * longest])
+            if len(self.text) > longest:
+                self.send(len(self.text) - longest)
+            if self.at > 2 * longest:
                 out += self.commit()
         return out
 
@@ -185,107 +193,134 @@ def path(last: list[str | None], i: int) -> list[str]:
     return out[::-1]
 
 
-def encode_part(p: Pieces, text: str) -> tuple[int, ...]:
-    """The ids of a part on whose ends all paths converge.
-
-    The survivor of a place depends only on what stands before it: survivors and ids of beginnings are
-    remembered, and a part goes on from its longest known beginning.
-    """
-    n = len(text)
-    if n > SHORT:
-        v = Viterbi(p)
-        return tuple(chain.from_iterable(map(p.id_list, v.feed(text) + v.end())))
-    known, begun, ids, pairs, longest = p.tails, p.begun, p.ids, p.pairs, p.longest
-    if len(known) >= 2 * CACHED:
-        known.clear()
-        begun.clear()
-        known[""], begun[""] = "", ()
-    k = n
-    while text[:k] not in known:
-        k -= 1
-    for i in range(k + 1, n + 1):
-        for j in range(i - longest if i > longest else 0, i):
-            piece = text[j:i]
-            if piece in ids or j == i - 1:
-                before = known[text[:j]]
-                if not before or pairs.get((before, piece)) or ((before, piece) not in pairs and p.beside(before, piece)):
-                    known[text[:i]] = piece
-                    begun[text[:i]] = begun[text[:j]] + ((ids[piece],) if piece in ids else tuple(p.id_list(piece)))
-                    break
-    return begun[text]
-
-
-def encode_unit(p: Pieces, unit: str) -> tuple[int, ...]:
-    """The ids of a unit, cut between characters that stand together in no piece: all paths converge there."""
-    inner, begun, at, out = p.inner, p.begun, 0, ()
-    before = unit[0]
-    for i in range(1, len(unit)):
-        c = unit[i]
-        if before + c not in inner:
-            part = unit[at:i]
-            ids = begun.get(part)
-            out += encode_part(p, part) if ids is None else ids
-            at = i
-        before = c
-    part = unit[at:]
-    ids = begun.get(part)
-    out += encode_part(p, part) if ids is None else ids
-    if len(unit) <= SHORT:
-        if len(p.units) >= CACHED:
-            p.units.clear()
-            p.units[""] = ()
-        p.units[unit] = out
-    return out
+def viterbi_ids(p: Pieces, text: str) -> list[int]:
+    """The ids of a text whose spaces are SPACE, as a stream: all of them are given out on boundaries on which the paths converge."""
+    v = Viterbi(p)
+    pieces = v.feed(text) + v.end()
+    ids = list(map(p.ids.get, pieces))
+    return list(chain.from_iterable(map(p.id_list, pieces))) if None in ids else ids
 
 
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
-def encode_text(p: Pieces, text: str) -> array:
-    """The ids of a whole text. Parts of up to SHORT characters are remembered, as words recur.
+def parted(p: Pieces, text: str) -> list[str]:
+    """A text as units: a word with the spaces before it, or a line break.
 
-    A unit is a word with the spaces before it, or a line break: no piece reaches over its ends.
+    No piece reaches over a unit's ends, so on each of them all paths converge, whatever stands behind. A
+    model with pieces that do has the whole text as one unit.
     """
-    out = array("i")
     if not text:
-        return out
-    text = p.prefix + text.replace(SPACE, " ")
-    if not p.parted:
-        out.extend(encode_unit(p, text.replace(" ", SPACE)))
-        return out
-    if "  " in text or (p.prefix and text.startswith(SPACE + " ")) or " \n" in text or text.endswith(" "):
-        units = UNITS.findall(text.replace(" ", SPACE))
-    else:
-        units = text.replace(" ", " " + SPACE).replace("\n", " \n ").split(" ")
-    found = list(map(p.units.get, units))
-    if None in found:
-        for k, ids in enumerate(found):
-            if ids is None:
-                found[k] = encode_unit(p, units[k])
-    out.extend(chain.from_iterable(found))
+        return []
+    text = (p.prefix + text.replace(SPACE, " ")).replace(" ", SPACE)
+    return UNITS.findall(text) if p.parted else [text]
+
+
+class Memo:
+    """What the Viterbi committed for units met before, as numbers of entries: words recur, and what follows a convergence does not depend on what stands before it."""
+
+    def __init__(self, p: Pieces) -> None:
+        self.p = p
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {"": 0}
+        self.ids, self.ends, self.exact = array("i"), array("q", [0, 0]), array("b", [1])
+        self.held = 0
+
+    def numbers(self, units: list[str]) -> list[int]:
+        """The entry of each unit; beyond HELD characters the memo starts anew first, so that memory is bounded."""
+        if self.held > HELD:
+            self.clear()
+        found = list(map(self.number.get, units))
+        if None in found:
+            for k, n in enumerate(found):
+                if n is None:
+                    found[k] = self.add(units[k])
+        return found
+
+    def add(self, unit: str) -> int:
+        ids = viterbi_ids(self.p, unit)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        self.exact.append(self.p.unknown not in ids)  # pieces and bytes give their characters again
+        self.held += len(unit)
+        n = self.number[unit] = len(self.exact) - 1
+        return n
+
+
+def encode_text(p: Pieces, text: str) -> array:
+    """The ids of a whole text."""
+    out = array("i")
+    for unit in parted(p, text):
+        out.extend(viterbi_ids(p, unit))
     return out
 
 
-def decode_ids(p: Pieces, ids: list[int] | array) -> str:
-    """The text of ids: pieces, runs of bytes as UTF-8 (U+FFFD for broken ones), nothing for control ids."""
+def encode_texts(p: Pieces, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all texts, one after the other; the number of ids of each text; whether decoding gives it again); a null text counts as empty.
+
+    Units are parted and numbered for all texts together, so that Python sees each different unit once.
+    """
+    if not p.parted:
+        found = [viterbi_ids(p, "".join(parted(p, x))) if x else [] for x in texts.to_pylist()]
+        return np.array([i for x in found for i in x], np.int32), np.array([len(x) for x in found], np.int64), np.zeros(len(found), bool)
+    known = pc.fill_null(texts, "")
+    odd = pc.or_(pc.match_substring(known, "  "), pc.or_(pc.match_substring(known, " \n"), pc.or_(pc.ends_with(known, " "), pc.match_substring(known, SPACE))))
+    if p.prefix:
+        odd = pc.or_(odd, pc.or_(pc.starts_with(known, " "), pc.equal(known, "")))
+    plain = pc.binary_join_element_wise(p.prefix, known, "")
+    plain = pc.replace_substring(pc.replace_substring(plain, " ", " " + SPACE), "\n", " \n ")
+    if pc.any(odd).as_py():
+        plain = pc.replace_with_mask(plain, odd, pa.array([" ".join(parted(p, x)) for x in known.filter(odd).to_pylist()], plain.type))
+    units = pc.split_pattern(plain, " ")
+    words = units.flatten().dictionary_encode()
+    memo = p.memo
+    entry = np.array(memo.numbers(words.dictionary.to_pylist()), np.int64)[words.indices.to_numpy()]
+    ends = np.frombuffer(memo.ends, np.int64)
+    start, size = ends[entry], ends[entry + 1] - ends[entry]
+    upto = np.concatenate(([0], np.cumsum(size)))
+    ids = np.frombuffer(memo.ids, np.int32)[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])] if upto[-1] else np.zeros(0, np.int32)
+    lost = np.concatenate(([0], np.cumsum(np.frombuffer(memo.exact, np.int8)[entry] == 0)))
+    at = units.offsets.to_numpy()
+    return ids, np.diff(upto[at]), lost[at[1:]] == lost[at[:-1]]
+
+
+def whole_text(p: Pieces, ids: list[int] | array | np.ndarray) -> str:
+    """The text of ids with the space before it, if there is one: pieces, runs of bytes as UTF-8 (U+FFFD for broken ones), nothing for control ids."""
     if p.high.isdisjoint(ids):
-        text = "".join(map(p.texts.__getitem__, ids))
-    else:
-        out: list[str] = []
-        run = bytearray()
-        for i in ids:
-            if i in p.high:
-                run.append(p.bytes_of[i])
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            out.append(p.texts[i])
-        out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
+        return "".join(map(p.texts.__getitem__, ids))
+    out: list[str] = []
+    run = bytearray()
+    for i in ids:
+        if i in p.high:
+            run.append(p.bytes_of[i])
+            continue
+        if run:
+            out.append(run.decode("utf-8", "replace"))
+            run.clear()
+        out.append(p.texts[i])
+    out.append(run.decode("utf-8", "replace"))
+    return "".join(out)
+
+
+def decode_ids(p: Pieces, ids: list[int] | array | np.ndarray) -> str:
+    text = whole_text(p, ids)
     return text.removeprefix(" ") if p.prefix else text
 
 
+def part_sizes(texts: pa.Array) -> list[int]:
+    """Numbers of rows that have about CHUNK bytes together, or one row that has more."""
+    out, size = [0], 0
+    for n in pc.fill_null(pc.binary_length(texts), 0).to_pylist():
+        if out[-1] and size + n > CHUNK:
+            out.append(0)
+            size = 0
+        out[-1] += 1
+        size += n
+    return out if out[-1] else []
+
+
 LOADED: dict[int, Pieces] = {}
 
 
@@ -312,24 +347,19 @@ def encode(docs: DataFrame, model: str, keep: Sequence[str] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = loaded(shared.value)
         for whole in batches:
-            for k in range(0, whole.num_rows, 500):
-                batch = whole.slice(k, 500)
-                flat, ends, exact, count = array("i"), [0], [], []
-                for text in batch.column(1):
-                    text = text.as_py()
-                    if text is None:
-                        ends.append(len(flat))
-                        exact.append(None)
-                        count.append(None)
-                        continue
-                    ids = encode_text(p, text)
-                    flat.extend(ids)
-                    ends.append(len(flat))
-                    count.append(len(ids))
-                    exact.append(decode_ids(p, ids) == text.replace(SPACE, " "))
-                valid = pa.array([c is None for c in count])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]), mask=valid)
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(count, pa.int64()), pa.array(exact, pa.bool_()), *batch.columns[2:]], names=["doc_id", "ids", "n_ids", "exact", *keep])
+            row = 0
+            for n in part_sizes(whole.column(1)):
+                batch = whole.slice(row, n)
+                row += n
+                texts = batch.column(1)
+                ids, count, exact = encode_texts(p, texts)
+                ends = np.concatenate(([0], np.cumsum(count)))
+                for i in np.flatnonzero(~exact).tolist():  # only then the whole is decoded
+                    if texts[i].is_valid:
+                        exact[i] = decode_ids(p, ids[ends[i] : ends[i + 1]].tolist()) == texts[i].as_py().replace(SPACE, " ")
+                none = texts.is_null().to_numpy(zero_copy_only=False)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array(none))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(count, mask=none), pa.array(exact, mask=none), *batch.columns[2:]], names=["doc_id", "ids", "n_ids", "exact", *keep])
 
     kinds = dict(docs.dtypes)
     return docs.select("doc_id", "text", *keep).mapInArrow(run, ", ".join([f"doc_id {kinds['doc_id']}, ids array<int>, n_ids long, exact boolean", *(f"{c} {kinds[c]}" for c in keep)]))
