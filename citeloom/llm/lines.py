@@ -1,4 +1,4 @@
-"""Substring dedup by line hashing: of equal lines and sentences, the earliest ranked one stays, in all documents together."""
+"""Substring dedup by hashing lines and sentences: of repeated passages the earliest ranked one stays, in all documents together."""
 
 from __future__ import annotations
 
@@ -11,94 +11,103 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.common import SPACES, cut, ship
 
-#: Shorter lines and sentences may recur.
-MIN_WORDS = 5
+#: A passage goes from so many words on; shorter ones, like licence lines and headings, may recur.
+MIN_WORDS = 20
 
-#: What parts the sentences of a line.
-BETWEEN = r"(?<=[.!?])" + SPACES
+#: What ends a unit: a line break, or white space behind the end of a sentence.
+BETWEEN = rf"(?<=[.!?]){SPACES}|\n"
+BETWEEN_UNITS, WORDS = re.compile(BETWEEN), re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def normalised(line: Column) -> Column:
-    return F.trim(F.lower(F.regexp_replace(line, SPACES, " ")))
+def normalised(unit: Column) -> Column:
+    return F.trim(F.lower(F.regexp_replace(unit, SPACES, " ")))
 
 
-def repeated_units(docs: DataFrame, rank: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, gone): for each document that loses text, the units that go: line n from 0 as n * 2^32, its sentences as that and 1 on."""
-    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col(rank).alias("rank"), F.posexplode(F.split("text", "\n", -1)).alias("n", "line"))
-    sentences = F.split("line", BETWEEN, -1)
-    parts = F.when(F.size(sentences) > 1, F.concat(F.array("line"), sentences)).otherwise(F.array("line"))
-    units = lines.select("doc_id", "rank", "n", F.posexplode(parts).alias("s", "unit")).select("doc_id", "rank", (F.col("n").cast("long") * 2**32 + F.col("s")).alias("place"), "unit").withColumn("unit", normalised(F.col("unit")))
-    words = F.size(F.split(F.col("unit"), " ", -1))
-    units = cut(units.where(words >= min_words).select(F.unhex(F.md5("unit")).alias("digest"), F.struct("rank", "doc_id", "place").alias("at")))
-    first = units.groupBy("digest").agg(F.min("at").alias("first"), F.count("*").alias("times")).where("times > 1").select("digest", "first")
-    return units.join(cut(first).hint("merge"), "digest").where("at <> first").groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.array_sort(F.collect_set("at.place")).alias("gone"))
+def repeated_units(docs: DataFrame, rank: str = "doc_id") -> DataFrame:
+    """(doc_id, version, gone): for each text, the numbers of its units that stand earlier in the collection. version is a hash of the text."""
+    units = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col(rank).alias("rank"), F.xxhash64("text").alias("version"), F.posexplode(F.split("text", BETWEEN, -1)).alias("n", "unit"))
+    units = units.withColumn("unit", normalised(F.col("unit"))).where("unit <> ''")
+    units = cut(units.select(F.unhex(F.md5("unit")).alias("digest"), F.struct("rank", "doc_id", "version", "n").alias("at")))
+    first = units.groupBy("digest").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("digest", "first")
+    again = units.join(first.hint("merge"), "digest").where("at <> first")
+    return again.groupBy("at.doc_id", "at.version").agg(F.array_sort(F.collect_set("at.n")).alias("gone"))
 
 
-def without(text: str, gone: set[tuple[int, int]]) -> tuple[str, list[tuple[int, int]], int, int]:
-    """The text without some of its units, the offsets of what went, the number of lines and that of the units that went."""
-    lines = text.split("\n")
-    kept, spans, at, units = [], [], 0, 0
-    inside = {n for n, s in gone if s and (n, 0) not in gone}
+def without(text: str, gone: set[int], min_words: int) -> tuple[str, list[tuple[int, int]], int, int]:
+    """The text without its runs of repeated units of min_words or more in all, the offsets of what went, the number of units and that of those that went."""
+    breaks = [(m.start(), m.end()) for m in BETWEEN_UNITS.finditer(text)]
+    starts, ends, nexts = [0, *(b for _, b in breaks)], [*(a for a, _ in breaks), len(text)], [*(b for _, b in breaks), len(text)]
+    spans: list[tuple[int, int]] = []
+    units = removed = count = words = at = 0
 
-    def go(a: int, b: int) -> None:
-        nonlocal units
+    def close(end: int) -> None:
+        nonlocal removed
+        if count and words >= min_words:
+            removed += count
+            spans.append((at, end))
+
+    end = 0
+    for n, (a, b) in enumerate(zip(starts, ends, strict=True)):
+        found = len(WORDS.findall(text, a, b))
+        if not found:
+            continue
         units += 1
-        if spans and spans[-1][1] == a:
-            spans[-1] = (spans[-1][0], b)
-        else:
-            spans.append((a, b))
-
-    for n, line in enumerate(lines):
-        if (n, 0) in gone:
-            go(at, min(at + len(line) + 1, len(text)))
-        elif n in inside:
-            ends = [m.end() for m in re.finditer(BETWEEN, line)]
-            stays = []
-            for s, (a, b) in enumerate(zip([0, *ends], [*ends, len(line)], strict=True), 1):
-                if (n, s) in gone:
-                    go(at + a, at + b)
-                else:
-                    stays.append(line[a:b])
-            kept.append("".join(stays))
+        if n in gone:
+            if not count:
+                at = a
+            count, words, end = count + 1, words + found, nexts[n]
         else:
-            kept.append(line)
-        at += len(line) + 1
-    return "\n".join(kept), spans, len(lines), units
+            close(end)
+            count = words = 0
+    close(end)
+    kept, last = [], 0
+    for a, b in spans:
+        kept.append(text[last:a])
+        last = b
+    return "".join([*kept, text[last:]]), spans, units, removed
+
+
+def units_of(text: str) -> int:
+    return sum(WORDS.search(x) is not None for x in BETWEEN_UNITS.split(text))
 
 
 def dedup_lines(docs: DataFrame, rank: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text, n_lines, n_removed, removed) for each row of docs.
+    """(doc_id, text, n_units, n_removed, removed) for each row of docs.
 
-    Units are lines and, in lines of more than one, sentences; a sentence ends with . ! or ? before white
-    space. They are compared without regard to case and to the amount of white space. Of units of min_words
-    or more that are equal, the first by (rank, doc_id, place in the text) stays and the others go, from the
-    same text too. n_removed counts the lines that went, and the sentences that went from other lines.
-    removed has the offsets, in characters of the text as it came, of what went, with a line's break and the
-    white space after a sentence. A null text stays null; rows with a null doc_id or a null rank in an equal place take no part
-    and stay whole; repeated rows of one doc_id are one document and lose the same lines.
+    Units are lines, parted into sentences where there are some: a sentence ends with . ! or ? before white
+    space. They are compared without regard to case and to the amount of white space; those without words do
+    not count. Of equal units, the first by (rank, doc_id, place in the text) is the original and the others are repeats, in
+    the same text too. A run of neighbouring repeats goes if it has min_words words or more; so a passage is
+    found wherever it stands and whatever its line breaks, but for the sentences that are cut at its ends, and
+    a short line that many texts share stays. n_units counts a text's units, n_removed those that went.
+    removed has the offsets, in characters of the text as it came, of what went, with the white space after it.
+
+    A null text stays null; rows with a null doc_id take no part and stay whole. Rows of one doc_id with one
+    text are one document; with different texts, they are documents in the order of a hash of the text. A null
+    rank comes first. An empty table gives an empty result; other columns are left out, and rank may be any of them.
 
     A unit is shuffled as a digest of 16 bytes and its place, and counted map-side, so a common line is a
-    few rows. Units and repeated digests are narrow checkpoints, so texts are parted once;
-    both grow with the input, so the joins shuffle at any size, and Spark splits hot digests.
+    few rows. Units are a narrow checkpoint, so texts are parted once; digests and texts are joined by
+    shuffles at any size, and Spark splits hot digests.
     """
-    gone = cut(repeated_units(docs, rank, min_words))
-    rows = docs.select("doc_id", "text").join(gone.hint("merge"), "doc_id", "left")
+    ship(docs)
+    gone = cut(repeated_units(docs, rank))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("version")).join(gone.hint("merge"), ["doc_id", "version"], "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                batch = whole.slice(k, 1000)
+            for k in range(0, whole.num_rows, 500):
+                batch = whole.slice(k, 500)
                 out = []
                 for text, numbers in zip(batch.column(1), batch.column(2), strict=True):
                     text, numbers = text.as_py(), numbers.as_py()
                     if text is None:
                         out.append((None, [], 0, 0))
                     elif not numbers:
-                        out.append((text, [], text.count("\n") + 1, 0))
+                        out.append((text, [], units_of(text), 0))
                     else:
-                        out.append(without(text, {divmod(x, 2**32) for x in numbers}))
+                        out.append(without(text, set(numbers), min_words))
                 spans = pa.array([[{"start": a, "end": b} for a, b in o[1]] for o in out], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([o[0] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.int64()), spans], names=["doc_id", "text", "n_lines", "n_removed", "removed"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([o[0] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.int64()), spans], names=["doc_id", "text", "n_units", "n_removed", "removed"])
 
-    ship(docs)
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_lines long, n_removed long, removed array<struct<start:int,end:int>>")
+    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_units long, n_removed long, removed array<struct<start:int,end:int>>")

@@ -52,7 +52,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("removed", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return found.select("doc_id", "text", "n_units", "n_removed", spans.alias("removed_spans"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,4 +102,22 @@ WITH v AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op7_line_dedup": r"""
+WITH parts AS (
+  SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?][\x20\x09-\x0D]+|\n)', '\1' || chr(57344), 'g'), chr(57344))) AS part,
+    generate_subscripts(string_split(regexp_replace(text, '([.!?][\x20\x09-\x0D]+|\n)', '\1' || chr(57344), 'g'), chr(57344)), 1) AS i
+  FROM documents WHERE text IS NOT NULL
+), placed AS (
+  SELECT doc_id, i, part, trim(lower(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g'))) AS u, coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM parts
+), units AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY doc_id, i) > 1 AS again FROM placed WHERE u <> ''),
+islands AS (SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM units),
+runs AS (
+  SELECT doc_id, min(i) AS lo, max(i) AS hi, count(*) AS n, min(start) AS a, max(start + length(part)) AS b FROM islands WHERE again
+  GROUP BY doc_id, island HAVING sum(len(string_split(u, ' '))) >= 20
+), spans AS (SELECT doc_id, sum(n)::BIGINT AS n, string_agg(a || '-' || b, ',' ORDER BY a) AS spans FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT p.doc_id, string_agg(p.part, '' ORDER BY p.i) AS text FROM placed p WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = p.doc_id AND p.i BETWEEN r.lo AND r.hi) GROUP BY p.doc_id
+), counts AS (SELECT doc_id, count(*) AS n FROM units GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(c.n, 0)::BIGINT AS n_units, coalesce(s.n, 0)::BIGINT AS n_removed, coalesce(s.spans, '') AS removed_spans
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counts c USING (doc_id) LEFT JOIN spans s USING (doc_id)""",
 }

@@ -180,7 +180,7 @@ def test_sentencepieces(spark, docs, real, empty):
 
 
 def test_lines(spark, docs, empty):
-    common = "this line has more than five words in it"
+    common = "this line has more than twenty words in it so that it is a passage which may not stand in two texts at once"
     df = spark.createDataFrame([(1, f"{common}\nown text of the first one here"), (2, f"another line with some more words\n  {common.upper()} \nend"), (3, None), (4, ""), (5, f"{common}\n{common}"), (None, common)], "doc_id long, text string")
     got = {r.doc_id: r for r in lines.dedup_lines(df).collect()}
     assert got[1].n_removed == 0 and got[2].text == "another line with some more words\nend" and got[2].n_removed == 1
