@@ -110,14 +110,15 @@ def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of the edges (whole numbers): component is the smallest node reachable.
 
-    Tasks first contract what they hold. Then, in a round, each node takes the smallest of its neighbours and
-    itself, and then what that one took; edges are drawn between what their ends took, contracted again,
-    without loops and repetitions, until none is left. So edges get fewer with every round, hot nodes
-    pre-aggregate by min, and each round's tables are written, so that no plan grows with the rounds. Null ends
-    are no nodes; loops give a component of their own node.
+    Edges meet by their larger end, and tasks first contract what they hold. Then, in a round, each node takes
+    the smallest of its neighbours and itself, and then what that one took; edges are drawn between what their
+    ends took, without loops and repetitions, until none is left. So edges get fewer with every round, hot
+    nodes pre-aggregate by min, and each round's tables are written, so that no plan grows with the rounds.
+    Null ends are no nodes; loops give a component of their own node.
     """
     ends = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    ends = cut(ends.mapInArrow(forest, "u long, v long").distinct())
+    ends = ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    ends = cut(ends.repartition("u").mapInArrow(forest, "u long, v long"))
     placed = None
     while placed is None or not ends.isEmpty():
         both = ends.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("v").alias("y")), F.struct(F.col("v").alias("x"), F.col("u").alias("y")))).alias("e")).select("e.*")
@@ -129,5 +130,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         else:
             placed = cut(placed.join(took.withColumnRenamed("x", "component"), "component", "left").select("node", F.coalesce("to", "component").alias("component")))
         drawn = ends.join(took.select(F.col("x").alias("u"), F.col("to").alias("p")), "u").join(took.select(F.col("x").alias("v"), F.col("to").alias("q")), "v")
-        ends = cut(drawn.where("p <> q").select(F.col("p").alias("u"), F.col("q").alias("v")).mapInArrow(forest, "u long, v long").distinct())
+        ends = cut(drawn.where("p <> q").select(F.greatest("p", "q").alias("u"), F.least("p", "q").alias("v")).distinct())
     return placed
