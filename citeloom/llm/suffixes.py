@@ -1,16 +1,15 @@
-"""Exact substring dedup over bytes by suffix ranks, sharded by content.
+"""Exact substring dedup over bytes by suffix arrays, sharded by content.
 
 A window of WIDTH bytes belongs to the shard of its minimizer, the smallest hash of the k-byte strings in it.
 It depends on the window's bytes alone, so equal windows meet in one shard whatever their documents; runs of
-windows with one minimizer travel together. Runs first travel as hashes: of equal runs, those of all but the
-smallest document go whole. Only where documents share a minimizer in different runs, the bytes of one run of
-each kind, its snippet, are dealt to the shard of the minimizer.
-
-In a shard, blocks of snippets are ranked as a suffix array is built by Larsson and Sadakane: ranks of 8
-bytes, doubled to 16 and 32, each from pairs of the ranks before. The common prefix of two suffixes follows
-from these ranks (32 + 16 + 2 bytes for WIDTH 50) without Kasai's sequential pass. A shard larger than a block
-is ranked in blocks in order of doc_id; a block's windows are found in the sorted windows of those before it
-by binary search.
+windows with one minimizer travel together. Copies of a whole run are one before they are sorted: runs first
+travel as 64-bit hashes, and of equal ones those of all but the smallest document go. Only where documents share
+a minimizer in different runs, the bytes of one run of each kind, its snippet, are dealt to the shard.
+
+A shard gets a suffix array by Larsson and Sadakane's refinement and the common prefixes by Kasai's pass, side by
+side over its snippets; windows are equal if they are neighbours with a common prefix of WIDTH or more. A shard
+larger than a block has several arrays, in order of doc_id: a block's windows are found by binary search in the
+sorted windows of those before it, which are merged when they are of like size.
 """
 
 from __future__ import annotations
@@ -30,8 +29,8 @@ from citeloom.llm.jaccard import as_long, chunks
 
 #: Bytes of a window, and of the strings of which the smallest hash decides its shard.
 WIDTH, K = 50, 20
-#: Snippet bytes ranked at once.
-BLOCK = 400_000
+#: Snippet bytes in one suffix array, bytes that its first sort takes, and windows of a run at most: longer ones, of periodic texts, are parted.
+BLOCK, FIRST, LONGEST = 400_000, 7, 64
 
 
 def numbered_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -56,6 +55,9 @@ def numbered_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     new = inside & np.concatenate(([True], (low[1:] != low[:-1]) | ~inside[:-1] | (text[1:] != text[:-1])))
     first = np.flatnonzero(new)
     ends = np.flatnonzero(inside & np.concatenate((new[1:] | ~inside[1:], [True])))
+    parts = (ends - first) // LONGEST + 1
+    lead = np.repeat(first, parts) + LONGEST * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+    first, ends = lead, np.minimum(lead + LONGEST - 1, np.repeat(ends, parts))
     count = ends - first + 1
     raw = (total[ends + WIDTH] - total[first]) * powers(len(total), INVERSE)[first]
     at = text[first]
@@ -135,24 +137,67 @@ def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out.filter(pc.greater_equal(pc.binary_length(out.column(3)), WIDTH))
 
 
-def ranked(values: np.ndarray) -> np.ndarray:
-    return np.unique(values, return_inverse=True)[1].astype(np.int64)
+def suffix_array(data: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order, place of each suffix in that order) of snippets laid end to end, as Larsson and Sadakane refine it.
 
-
-def window_classes(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """A number for each window of data (WIDTH bytes from its place) that equal windows share: ranks of 8 bytes, doubled."""
-    padded = np.concatenate((data, np.zeros(WIDTH + 64, np.uint8))).astype(np.uint64)
-    n = len(data) + WIDTH
-    word = np.zeros(n, np.uint64)
-    for i in range(8):
-        word = (word << np.uint64(8)) | padded[i : i + n]
-    r8 = ranked(word)
-    m = n - 8
-    r16 = ranked(r8[:m] * n + r8[8:])
-    m -= 16
-    r32 = ranked(r16[:m] * n + r16[16 : 16 + m])
-    tail = (padded[windows + 48] << np.uint64(8) | padded[windows + 49]).astype(np.int64)
-    return ranked(ranked(r32[windows] * n + r16[windows + 32]) * 65536 + tail)
+    ends has the end of the snippet of each byte and owner its number; a suffix ends with its snippet, and of
+    equal ones that of the smaller number comes first. Suffixes are sorted by their first FIRST bytes; then, with
+    h doubling, only the groups that are still equal are sorted by the place of the group of the suffix h further on.
+    """
+    n = len(data)
+    symbols = np.concatenate((data.astype(np.int64) + 1, np.zeros(FIRST, np.int64)))
+    left = ends - np.arange(n)
+    key = np.zeros(n, np.int64)
+    for i in range(FIRST):  # of 9 bits each; 0 behind the end
+        key = key << 9 | np.where(i < left, symbols[i : i + n], 0)
+    order = np.argsort(key, kind="stable")
+    rank = np.empty(n, np.int64)
+    bounds = np.flatnonzero(np.r_[np.diff(key[order]) != 0, True])
+    rank[order] = np.repeat(bounds, np.diff(np.r_[-1, bounds]))  # a group's number is the place of its last member
+    open_ = np.flatnonzero(np.repeat(np.diff(np.r_[-1, bounds]) > 1, np.diff(np.r_[-1, bounds])))
+    h, numbers = FIRST, int(owner[-1]) + 1
+    while len(open_):
+        members = order[open_]
+        group, further = rank[members], members + h
+        over = further >= ends[members]
+        second = np.where(over, owner[members], rank[np.where(over, 0, further)] + numbers)
+        sort = np.lexsort((second, group))
+        members, group, second = members[sort], group[sort], second[sort]
+        order[open_] = members
+        last = np.flatnonzero(np.r_[(group[1:] != group[:-1]) | (second[1:] != second[:-1]), True])
+        size = np.diff(np.r_[-1, last])
+        rank[members] = np.repeat(open_[last], size)
+        open_ = open_[np.repeat(size > 1, size)]
+        h *= 2
+    return order, rank
+
+
+def common_prefixes(data: np.ndarray, base: np.ndarray, sizes: np.ndarray, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each suffix, by its place in the text, the common prefix with the one before it in the order, as Kasai computes it.
+
+    A suffix has at least the prefix of the suffix one byte before it, less one. The pass over the bytes of a
+    snippet is sequential; all snippets go through it side by side.
+    """
+    ends = np.repeat(base + sizes, sizes)
+    before = order[rank - 1]  # of the first in the order, the last: taken out below
+    out = np.zeros(len(data), np.int64)
+    longest = np.argsort(-sizes, kind="stable")
+    active = np.searchsorted(-sizes[longest], -np.arange(1, int(sizes.max()) + 1), "right")
+    h = np.zeros(len(sizes), np.int64)
+    for step, k in enumerate(active.tolist()):
+        i = base[longest[:k]] + step
+        j = before[i]
+        h = np.maximum(h[:k] - 1, 0)
+        first = rank[i] == 0
+        h[first] = 0
+        room = np.minimum(ends[i] - i, ends[j] - j)
+        grow = np.flatnonzero(~first & (h < room))
+        while len(grow):
+            grow = grow[data[i[grow] + h[grow]] == data[j[grow] + h[grow]]]
+            h[grow] += 1
+            grow = grow[h[grow] < room[grow]]
+        out[i] = h
+    return out
 
 
 def packed(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -180,28 +225,47 @@ def among(sorted_rows: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return found
 
 
+def merged_windows(before: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Merges the last of the sorted windows of blocks, each with its smallest document, while they are of like size: a later block searches few of them."""
+    while len(before) > 1 and len(before[-2][0]) <= 2 * len(before[-1][0]):
+        (a, x), (b, y) = before[-2:]
+        rows, docs = np.concatenate((a, b)), np.concatenate((x, y))
+        order = np.lexsort((docs, *rows.T[::-1]))
+        rows, docs = rows[order], docs[order]
+        first = np.r_[True, (rows[1:] != rows[:-1]).any(1)]
+        before[-2:] = [(rows[first], docs[first])]
+
+
 def ranked_block(block: list[tuple[int, int, int, bytes]], before: list[tuple[np.ndarray, np.ndarray]], keep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, start, end) of what goes of the snippets (key, doc, start, bytes) of a block; its windows join those of the blocks before if keep."""
+    """(doc, start, end) of what goes of the snippets (key, doc, start, bytes) of a block; its windows join those of the blocks before if keep.
+
+    In the suffix array, equal windows are neighbours whose common prefixes are WIDTH bytes or more.
+    """
     data = np.frombuffer(b"".join(x[3] for x in block), np.uint8)
     sizes = np.array([len(x[3]) for x in block], np.int64)
     base = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    number = np.repeat(np.arange(len(block)), sizes)
+    order, rank = suffix_array(data, (base + sizes)[number], number)
+    prefixes = common_prefixes(data, base, sizes, order, rank)
+    kinds = np.cumsum(prefixes[order] < WIDTH) - 1
     counts = sizes - WIDTH + 1
     owner = np.repeat(np.arange(len(block)), counts)
     windows = np.arange(len(owner)) - np.repeat(np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + base[owner]
     docs = np.array([x[1] for x in block], np.int64)[owner]
-    kind = window_classes(data, windows)
-    least = np.full(int(kind.max()) + 1, np.iinfo(np.int64).max)
+    kind = kinds[rank[windows]]
+    least = np.full(int(kinds[-1]) + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, kind, docs)
     gone = docs > least[kind]
     if before or keep:
-        _, first = np.unique(kind, return_index=True)
-        distinct = packed(data, windows[first])
+        shown, first = np.unique(kind, return_index=True)
+        distinct = packed(data, windows[first])  # in the order of the suffix array
         for other, other_docs in before:
-            at = among(other, distinct)
-            gone |= (at >= 0)[kind] & (docs > other_docs[at][kind])
+            at = np.full(len(least), -1)
+            at[shown] = among(other, distinct)
+            gone |= (at[kind] >= 0) & (docs > other_docs[at[kind]])
         if keep:
-            order = np.lexsort(distinct.T[::-1])
-            before.append((distinct[order], least[order]))
+            before.append((distinct, least[shown]))
+            merged_windows(before)
     at = np.flatnonzero(gone)
     if not len(at):
         return at, at, at
