@@ -28,7 +28,7 @@ def repeated_units(docs: DataFrame, rank: str = "doc_id") -> DataFrame:
     units = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col(rank).alias("rank"), F.xxhash64("text").alias("version"), F.posexplode(F.split("text", BETWEEN, -1)).alias("n", "unit"))
     units = units.withColumn("unit", normalised(F.col("unit"))).where("unit <> ''")
     units = cut(units.select(F.unhex(F.md5("unit")).alias("digest"), F.struct("rank", "doc_id", "version", "n").alias("at")))
-    first = units.groupBy("digest").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("digest", "first")
+    first = cut(units.groupBy("digest").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("digest", "first"))
     again = units.join(first.hint("merge"), "digest").where("at <> first")
     return again.groupBy("at.doc_id", "at.version").agg(F.array_sort(F.collect_set("at.n")).alias("gone"))
 
@@ -87,8 +87,8 @@ def dedup_lines(docs: DataFrame, rank: str = "doc_id", min_words: int = MIN_WORD
     rank comes first. An empty table gives an empty result; other columns are left out, and rank may be any of them.
 
     A unit is shuffled as a digest of 16 bytes and its place, and counted map-side, so a common line is a
-    few rows. Units are a narrow checkpoint, so texts are parted once; digests and texts are joined by
-    shuffles at any size, and Spark splits hot digests.
+    few rows. Units and the first place of repeated digests are narrow checkpoints, so texts are parted once and a hot digest
+    can be split; digests and texts are joined by shuffles at any size.
     """
     ship(docs)
     gone = cut(repeated_units(docs, rank))
