@@ -34,8 +34,12 @@ def areas(x: str, table: dict[str, list[str]], least: int) -> str:
     return "concat_ws(',', " + ", ".join(f"CASE WHEN {word_count(x, words)} >= {least} THEN {lit(name)} END" for name, words in table.items()) + ")"
 
 
-def first_pattern(d: Spark, x: str, table: dict[str, str], other: str) -> str:
-    return cases([(d.has(x, "(?i)" + p), lit(name)) for name, p in table.items()], lit(other))
+def any_pattern(patterns: list[str]) -> str:
+    return "|".join(patterns)
+
+
+def first_pattern(d: Spark, x: str, table: dict[str, list[str]], other: str) -> str:
+    return cases([(d.has(x, "(?i)" + any_pattern(p)), lit(name)) for name, p in table.items()], lit(other))
 
 
 def summary(title: str) -> str:
@@ -94,7 +98,7 @@ def offense_degree(text: str) -> str:
 
 
 def title_rows(d: Spark) -> str:
-    return ", ".join(f"({n}01, {n + 1}00, {quoted(d, f'Title {n} - {name}')})" for n, name in fixed.TITLES.items())
+    return ", ".join(f"({lo}, {hi}, {quoted(d, name)})" for lo, hi, name in fixed.TITLES)
 
 
 def agency_rows(d: Spark) -> str:
@@ -117,7 +121,7 @@ def court_level(name: str) -> str:
 
 def county_rows() -> str:
     """Counties and districts; the last district that names a county counts."""
-    last = {county.replace("_", " "): district for district, names in fixed.DISTRICTS.items() for county in names.split()}
+    last = {county: district for district, counties in fixed.DISTRICTS.items() for county in counties}
     return ", ".join(f"('{c}', '{k}')" for c, k in last.items())
 
 

@@ -11,16 +11,13 @@ def hist(d, key: str, source: str) -> str:  # noqa: ANN001
 
 PLANS = {
     "j01_targets": (["edge", "doc"], lambda d: "SELECT e.src, e.dst, coalesce(n.title, '') AS title, coalesce(n.url, '') AS url FROM edge e LEFT JOIN doc n ON n.section = e.dst"),
-    "j02_citing": (["edge", "doc"], lambda d: "SELECT e.dst, e.src, n.title FROM edge e JOIN doc n ON n.section = e.src"),
     "j03_ordered_members": (["ranked_edge", "node"], lambda d: f"SELECT src, {d.list_join('title', '; ', 'nth')} AS titles FROM ranked_edge JOIN node ON section = dst GROUP BY src"),
     "j04_existence_flags": (["node", "in_degree", "out_degree"], lambda d: "SELECT n.section, o.section IS NOT NULL AS has_forward, i.section IS NOT NULL AS has_reverse, (o.section IS NOT NULL OR i.section IS NOT NULL) AS is_clickable FROM node n LEFT JOIN out_degree o ON o.section = n.section LEFT JOIN in_degree i ON i.section = n.section"),
     "j05_semi": (["edge"], lambda d: "SELECT src, dst FROM edge WHERE dst IN (SELECT src FROM edge)"),
     "j06_anti": (["node", "edge"], lambda d: "SELECT section FROM node n WHERE NOT EXISTS (SELECT 1 FROM edge e WHERE e.src = n.section)"),
-    "j07_pair_relation": (["edge"], lambda d: "SELECT a.src AS a, a.dst AS b, CASE WHEN b.src IS NOT NULL THEN 'mutual' ELSE 'cites' END AS relation FROM edge a LEFT JOIN edge b ON b.src = a.dst AND b.dst = a.src"),
     "j08_forward_neighbours": (["edge", "doc"], lambda d: "SELECT e.src, n.section, n.text FROM edge e JOIN doc n ON n.section = e.dst"),
     "j09_reverse_neighbours": (["edge", "doc"], lambda d: "SELECT e.dst, n.section, n.header FROM edge e JOIN doc n ON n.section = e.src"),
     "j10_reference_context": (["ranked_edge", "doc"], lambda d: f"SELECT src, {d.list_join('substring(text, 1, 1000)', ' | ', 'nth')} AS context FROM ranked_edge JOIN doc ON section = dst WHERE nth <= 3 GROUP BY src"),
-    "j12_event_history": (["events"], lambda d: "SELECT a.event_id, count(*) AS n_before FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = b.event_type AND b.ts < a.ts GROUP BY a.event_id"),
     "g01_inverted": (["edge"], lambda d: f"SELECT dst, {d.set_join('src')} AS cited_by, count(DISTINCT src) AS n FROM edge GROUP BY dst"),
     "g02_inverted_list": (["case_edge"], lambda d: f"SELECT dst, {d.list_join('CAST(src AS STRING)', ',', 'src')} AS cited_by FROM case_edge GROUP BY dst"),
     "g03_inbound": (["edge"], lambda d: "SELECT dst, count(*) AS n FROM edge GROUP BY dst"),

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from citeloom.functions import fixed, rules
 
-CHAPTER = "CAST(substring(section, 1, length(section) - 3) AS INT)"
-LADDER = [(n, n) for n in range(1, 64, 2)]
+CHAPTER = "CAST(floor(CAST(section AS DOUBLE)) AS INT)"
 
 
 def dpart(name: str = "court") -> str:
@@ -22,50 +21,30 @@ def placed(d) -> str:  # noqa: ANN001
     return f"(SELECT c.court_key, c.court, {rules.court_kind('c.court')} AS kind, {rules.court_level('c.court')} AS level, coalesce({dpart('c.court')}, k.district) AS district FROM court c LEFT JOIN (SELECT * FROM (VALUES {rules.county_rows()}) AS v(county, district)) k ON k.county = {county(d, 'c.court')})"
 
 
-def struct_row(d, source: str) -> str:  # noqa: ANN001
-    return f"SELECT section, {rules.summary('title')} AS summary, {rules.legal_type('text', 'header')} AS legal_type, {areas(d)} AS practice_areas, {COMPLEX} AS complexity, CASE WHEN {rules.legal_type('text', 'header')} = 'criminal_statute' THEN {rules.offense_level('text')} END AS offense_level FROM {source}"
-
-
-def areas(d) -> str:  # noqa: ANN001
-    found = rules.areas("lower(text)", fixed.AREAS, 2)
-    return f"CASE WHEN {found} = '' THEN 'general' ELSE {found} END"
-
-
-COMPLEX = rules.complexity("length(text) / 6", "2", "length(text) % 13", (1000, 500, 100), (15, 10), (10, 5))
-
 PLANS = {
     "o37_title_scope": (["doc"], lambda d: "SELECT section FROM doc WHERE section LIKE '1%' AND CAST(replace(section, '.', '') AS DOUBLE) BETWEEN 10000 AND 199999"),
     "o38_chapter_title": (["node"], lambda d: f"SELECT n.section, coalesce(t.title, 'Unknown Title (Chapter ' || CAST(n.chapter AS STRING) || ')') AS title FROM (SELECT section, {CHAPTER} AS chapter FROM node) n LEFT JOIN (SELECT * FROM (VALUES {rules.title_rows(d)}) AS v(lo, hi, title)) t ON n.chapter >= t.lo AND n.chapter < t.hi"),
-    "o39_title_ladder": (["node"], lambda d: "SELECT section, " + rules.cases([(f"CAST(substring(section, 1, 2) AS INT) = {n}", f"'Title {n}'") for n in range(11, 64, 2)], "NULL") + " AS title FROM node"),
     "o40_rule_agency": (["rule"], lambda d: f"SELECT rule_id, coalesce(agency, 'State Agency (Unknown)') AS agency FROM (SELECT r.rule_id, a.agency, row_number() OVER (PARTITION BY r.s_suppkey ORDER BY a.nth) AS rn FROM rule r LEFT JOIN (SELECT * FROM (VALUES {rules.agency_rows(d)}) AS v(nth, lo, hi, agency)) a ON r.chapter >= a.lo AND r.chapter < a.hi) x WHERE rn = 1"),
     "o41_rule_type": (["rule"], lambda d: f"SELECT rule_id, {rules.rule_type('chapter')} AS rule_type FROM rule"),
-    "o42_article": (["node"], lambda d: "SELECT section, CASE p_size % 4 WHEN 0 THEN 'Article I - Bill of Rights' WHEN 1 THEN 'Article II - Legislative' WHEN 2 THEN 'Article III - Executive' ELSE 'Article IV - Judicial' END AS article FROM node"),
     "o43_court_level": (["court"], lambda d: f"SELECT court_key, {rules.court_kind('court')} AS kind, {rules.court_level('court')} AS level FROM court"),
     "o44_district": (["court"], lambda d: f"SELECT court_key, district FROM {placed(d)} p"),
     "o45_county": (["court"], lambda d: f"SELECT court_key, {county(d)} AS county FROM court"),
     "o46_routing_path": (["courtcase"], lambda d: f"SELECT case_id, {rules.court_kind('court')} || '/' || lower(replace(replace(court, ' ', '-'), ',', '')) || '/' || substring(decision_date, 1, 4) AS path FROM courtcase"),
     "o47_precedent": (["court"], lambda d: f"SELECT a.court_key AS citing, b.court_key AS cited, {rules.authority('a.kind', 'a.level', 'b.kind', 'b.level', 'a.district', 'b.district')} AS authority FROM {placed(d)} a JOIN {placed(d)} b ON a.court_key <> b.court_key"),
     "o48_case_flags": (["courtcase"], lambda d: f"SELECT case_id, {rules.court_kind('court')} = 'supreme' AS is_supreme_court, {rules.court_kind('court')} = 'appeals' AS is_appellate, contains({rules.court_kind('court')}, 'federal') AS is_federal, substring(decision_date, 1, 4) AS year FROM courtcase"),
-    "o49_case_subjects": (["courtcase"], lambda d: "SELECT case_id, concat_ws(',', " + ", ".join(f"CASE WHEN {d.has('lower(name)', p)} OR {d.has('lower(substring(opinion, 1, 1000))', p)} THEN '{k}' END" for k, p in fixed.CASE_CLASSES.items()) + ") AS subjects FROM courtcase"),
+    "o49_case_subjects": (["courtcase"], lambda d: "SELECT case_id, coalesce(nullif(concat_ws(',', " + ", ".join(f"CASE WHEN {d.has('lower(name)', rules.any_pattern(p))} OR {d.has('lower(substring(opinion, 1, 1000))', rules.any_pattern(p))} THEN '{k}' END" for k, p in fixed.CASE_CLASSES.items()) + "), ''), 'general') AS subjects FROM courtcase"),
     "o50_roman": (["node"], lambda d: "SELECT section, " + rules.cases([(f"r = '{n}'", str(i)) for i, n in enumerate("I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX".split(), 1)], "0") + " AS n FROM (SELECT section, CASE p_size % 4 WHEN 0 THEN 'IV' WHEN 1 THEN 'XIX' WHEN 2 THEN 'I' ELSE 'Q' END AS r FROM node) x"),
     "o51_statute_summary": (["doc"], lambda d: f"SELECT section, {rules.summary('title')} AS summary FROM doc"),
     "o52_provision_summary": (["doc"], lambda d: f"SELECT section, {rules.provision_summary('title')} AS summary FROM doc"),
     "o53_case_summary": (["courtcase"], lambda d: f"SELECT case_id, {rules.case_summary(d, 'name')} AS summary FROM courtcase"),
     "o54_legal_type": (["doc"], lambda d: f"SELECT section, {rules.legal_type('text', 'header')} AS legal_type FROM doc"),
     "o55_case_type": (["courtcase"], lambda d: f"SELECT case_id, {rules.case_type('opinion')} AS legal_type FROM courtcase"),
-    "o56_practice_areas": (["doc"], lambda d: f"SELECT section, {areas(d)} AS practice_areas FROM doc"),
-    "o57_case_areas": (["courtcase"], lambda d: f"SELECT case_id, {rules.areas('lower(opinion)', fixed.CASE_AREAS, 2)} AS practice_areas FROM courtcase"),
+    "o57_case_areas": (["courtcase"], lambda d: f"SELECT case_id, coalesce(nullif({rules.areas('lower(opinion)', fixed.CASE_AREAS, 2)}, ''), 'general') AS practice_areas FROM courtcase"),
     "o58_subject_matter": (["doc"], lambda d: f"SELECT section, {rules.areas('lower(text)', fixed.SUBJECTS, 1)} AS subjects FROM doc"),
     "o59_offense_level": (["doc"], lambda d: f"SELECT section, {rules.offense_level('text')} AS level FROM doc"),
     "o60_offense_degree": (["doc"], lambda d: f"SELECT section, {rules.offense_degree('text')} AS degree FROM doc"),
-    "o61_statute_complexity": (["doc"], lambda d: f"SELECT section, {COMPLEX} AS complexity FROM doc"),
-    "o62_provision_complexity": (["doc"], lambda d: f"SELECT section, {rules.complexity('length(text)', '2', 'length(text) % 7', (800, 400, 100), (10, 5), (5, 2))} AS complexity FROM doc"),
     "o63_case_complexity": (["courtcase"], lambda d: f"SELECT case_id, {rules.complexity('word_count', '1', 'n_cites', (5000, 2000, 500), (2, 1), (20, 10))} AS complexity FROM courtcase"),
-    "o64_key_terms": (["doc"], lambda d: f"SELECT section, {d.joined(d.sorted(d.kept(d.found('lower(title)', '[^,;.\\s-]+'), 'w', 'length(w) > 3 AND w NOT IN (' + ', '.join(map(rules.lit, fixed.STOP_WORDS)) + ')')))} AS title_terms, {d.joined(d.kept(d.found('text', chr(34) + '([^' + chr(34) + ']+)' + chr(34), 1), 'q', 'length(q) < 30'))} AS quoted FROM doc"),
     "o65_case_terms": (["courtcase"], lambda d: "SELECT case_id, concat_ws(',', lower(trim(" + d.at("split(" + d.at("split(name, ' v[.] ')" if d.name == "spark" else "split(name, ' v. ')", 1) + ", ',')", 0) + ")), " + ", ".join(f"CASE WHEN contains(lower(opinion), '{p}') THEN '{p}' END" for p in fixed.PHRASES) + ") AS terms FROM courtcase"),
-    "o66_rights_category": (["doc"], lambda d: "SELECT section, " + rules.cases([("contains(lower(text), 'property')", "'eminent_domain'"), ("contains(lower(text), 'jury')", "'trial_by_jury'")], "'general_rights'") + " AS category FROM doc"),
-    "o67_branch": (["node"], lambda d: "SELECT section, CASE p_size % 4 WHEN 1 THEN 'legislative' WHEN 2 THEN 'executive' WHEN 3 THEN 'judicial' END AS branch FROM node"),
-    "o68_enrichment": (["doc"], lambda d: struct_row(d, "doc")),
     "o69_fallback_analysis": (["documents"], lambda d: f"SELECT doc_id, CAST(least({d.div('length(text)', '200')} + 3, 10) AS INT) AS complexity, {d.size(d.found('text', '[A-Z][a-z]+'))} AS n_capitalised FROM documents"),
     "o70_page_features": (["pages"], lambda d: f"SELECT page_id, CAST(length(html) AS INT) AS n_chars, {d.size(d.found('html', '<a '))} AS n_links, {d.size(d.found('html', '<img'))} AS n_images, contains(lower(html), '<form') AS has_form, contains(lower(html), 'captcha') AS has_captcha, {d.size(d.found('url', '/'))} AS depth FROM pages"),
     "o71_decisions": (["pages"], lambda d: f"SELECT page_id, CASE WHEN n_links > 8 AND n_chars < 4000 THEN 'navigate' WHEN n_chars > 1000 THEN 'extract' ELSE 'skip' END AS action, CASE WHEN n_links > 8 THEN 0.8 ELSE 0.6 END AS confidence, CAST(5 * power(2, n_links % 4) AS INT) AS retry_s FROM (SELECT page_id, length(html) AS n_chars, {d.size(d.found('html', '<a '))} AS n_links FROM pages) x"),

@@ -30,21 +30,16 @@ def offsets(d):  # noqa: ANN001, ANN201
 
 PLANS = {
     "o20_statute_references": (["doc"], lambda d: f"SELECT section, {d.joined(references(d))} AS refs, {d.size(references(d))} AS n FROM doc"),
-    "o21_rule_references": (["rule"], lambda d: f"SELECT rule_id, {d.joined(d.sorted(d.found('text', r'\b\d{3,4}-\d{1,2}-\d{1,2}\b')))} AS rules, {d.joined(d.sorted(d.found('text', REFERENCE, 1)))} AS statutes FROM rule"),
-    "o22_constitution_references": (["node"], lambda d: f"SELECT section, 'Article ' || {d.at(d.found('t', r'Article\s+([IVX]+),\s+Section\s+(\d+)', 1), 0)} || ', Section ' || {d.at(d.found('t', r'Article\s+([IVX]+),\s+Section\s+(\d+)', 2), 0)} AS ref FROM (SELECT section, 'under Article IV, Section ' || CAST(p_size AS STRING) || ' here' AS t FROM node) x"),
     "o23_multi_corpus": (["rule"], lambda d: f"SELECT rule_id, 'oac' AS corpus, {d.each(d.found('text', r'\d{3,4}-\d{1,2}-\d{1,2}'))} AS ref FROM rule UNION ALL SELECT rule_id, 'orc', {d.each(d.found('text', REFERENCE, 1))} FROM rule"),
     "o24_reference_class": (["rule"], lambda d: "SELECT rule_id, " + rules.cases([(d.has("ref", r"^\d{3,4}\.\d+$"), "'orc'"), (d.has("ref", r"^\d+-\d+-\d+$"), "'oac'"), (d.has("ref", r"^[IVX]+-\d+$"), "'constitution'"), (d.has("ref", r"^case_"), "'case'")], "'unknown'") + " AS kind FROM (SELECT rule_id, CASE s_suppkey % 5 WHEN 0 THEN '2903.01' WHEN 1 THEN rule_id WHEN 2 THEN 'IV-2' WHEN 3 THEN 'case_5' ELSE 'x' END AS ref FROM rule) x"),
     "o25_reference_validation": (["rule"], lambda d: f"SELECT rule_id, {d.has('rule_id', r'^(?:\d{3,4}-\d{1,2}-\d{1,2})')} AS valid FROM rule"),
     "o26_typed_citations": (["doc"], typed),
     "o26_citation_offsets": (["doc"], offsets),
-    "o27_context_last_wins": (["edge"], lambda d: "SELECT src, dst, relationship FROM (SELECT src, dst, CASE kind % 5 WHEN 0 THEN 'defines' WHEN 3 THEN 'superseded_by' ELSE 'cross_reference' END AS relationship, row_number() OVER (PARTITION BY src, dst ORDER BY kind DESC) AS rn FROM edge) x WHERE rn = 1"),
     "o28_case_citations": (["courtcase"], lambda d: " UNION ALL ".join(f"SELECT case_id, '{k}' AS kind, {d.each(d.found('opinion', '(?i)' + p))} AS cite FROM courtcase" for k, p in fixed.CASE_CITES.items())),
     "o29_relationship": (["courtcase"], lambda d: f"SELECT case_id, {rules.first_pattern(d, 'opinion', fixed.RELATIONS, 'cited')} AS relationship FROM courtcase"),
     "o30_citation_class": (["courtcase"], lambda d: f"SELECT case_id, {rules.cite_class(d, 'opinion')} AS class FROM courtcase"),
     "o31_structured_citations": (["case_edge"], lambda d: "SELECT src, dst, 'cited' AS relationship FROM case_edge"),
     "o32_resolved_edges": (["case_edge"], lambda d: "SELECT src, CAST(dst AS STRING) AS target FROM case_edge WHERE dst IS NOT NULL"),
     "o33_edge_union": (["case_edge", "courtcase"], lambda d: f"SELECT src, CAST(dst AS STRING) AS target FROM case_edge UNION SELECT case_id, {d.each(d.found('opinion', r'\d{4}-Ohio-\d+'))} FROM courtcase"),
-    "o34_rule_number": (["rule"], lambda d: f"SELECT rule_id, {d.at(d.found('text', r'(?i)rule\s+([\d:-]+)', 1), 0)} AS number FROM rule"),
-    "o35_normalised_id": (["node"], lambda d: f"SELECT section, {d.at(d.found('t', r'Art\. ([IVX]+)', 1), 0)} || '.' || {d.at(d.found('t', r'Sec\. (\d+)', 1), 0)} AS id FROM (SELECT section, 'Art. II, Sec. ' || CAST(p_size AS STRING) AS t FROM node) x"),
-    "o36_hallucinated": (["doc"], lambda d: f"SELECT section, {d.size(d.kept(d.found('answer', r'(?:section|§)\s+(\d+(?:\.\d+)*)', 1), 'r', chr(78) + 'OT contains(replace(text, chr(46), chr(32)), replace(r, chr(46), chr(32)))'))} AS n_unknown FROM (SELECT section, text, 'See section ' || section || ' and section 101.15.' AS answer FROM doc) x"),
+    "o36_hallucinated": (["doc"], lambda d: f"SELECT section, {d.size(d.kept(d.found('answer', r'(?:section|§)\s+(\d+(?:\.\d+)*)', 1), 'r', "NOT contains(replace(text, '.', ''), replace(r, '.', ''))"))} AS n_unknown FROM (SELECT section, text, 'See section ' || section || ' and section 101.15.' AS answer FROM doc) x"),
 }

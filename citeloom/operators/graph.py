@@ -138,19 +138,9 @@ def g17(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROGRAMS = {"n01_chains": n01, "n02_chain_cover": n02, "n04_chain_texts": n04, "n05_truncated_chains": n05, "n08_pagerank": n08, "n13_shortest_path": n13, "g06_categories": g06, "g17_chain_depths": g17}
 PROGRAM_SQL: dict = {}
 
-PATHS = """, five AS (SELECT src, dst FROM ranked_edge WHERE nth <= 5), leaf AS (SELECT section FROM node WHERE section NOT IN (SELECT src FROM edge)),
-p1 AS (SELECT src AS a, dst AS b FROM five), p2 AS (SELECT a, b, dst AS c FROM p1 JOIN five ON src = b WHERE dst <> a AND dst <> b), p3 AS (SELECT a, b, c, dst AS e FROM p2 JOIN five ON src = c WHERE dst <> a AND dst <> b AND dst <> c)
-SELECT a || '>' || b AS path FROM p1 WHERE b IN (SELECT section FROM leaf) UNION ALL SELECT a || '>' || b || '>' || c FROM p2 WHERE c IN (SELECT section FROM leaf) UNION ALL SELECT a || '>' || b || '>' || c || '>' || e FROM p3"""
-
-
-def paths(d) -> str:  # noqa: ANN001
-    return PATHS
-
-
 AROUND = "SELECT src AS a, dst AS b FROM edge UNION SELECT dst, src FROM edge"
 
 PLANS = {
-    "n03_paths": (["node", "edge", "ranked_edge"], paths),
     "n06_related": (["ranked_edge", "edge"], lambda d: "SELECT src AS section, dst AS related, 'cited_by_primary' AS relation FROM ranked_edge WHERE nth <= 3 UNION ALL SELECT e.dst, e.src, 'cites_primary' FROM edge e WHERE NOT EXISTS (SELECT 1 FROM edge f WHERE f.src = e.dst AND f.dst = e.src)"),
     "n07_neighbourhood": (["edge"], lambda d: f", around AS ({AROUND}), two AS (SELECT a, b, 1 AS dist FROM around UNION ALL SELECT x.a, y.b, 2 FROM around x JOIN around y ON y.a = x.b AND y.b <> x.a) SELECT a, b, min(dist) AS dist, round(greatest(0.2, 1 - 0.2 * min(dist)), 6) * 1e0 AS opacity FROM two GROUP BY a, b"),
     "n09_ui_graph": (["edge"], lambda d: "SELECT src AS section, 'out' AS side, dst AS other FROM edge UNION ALL SELECT dst, 'in', src FROM edge"),
@@ -158,6 +148,4 @@ PLANS = {
     "n11_common_authorities": (["edge"], lambda d: "SELECT a.src AS a, b.src AS b, count(*) AS shared FROM edge a JOIN edge b ON a.dst = b.dst AND a.src < b.src GROUP BY a.src, b.src"),
     "n12_citing_items": (["edge"], lambda d: "SELECT DISTINCT e.dst, f.src AS citing_at_two FROM edge e JOIN edge f ON f.dst = e.src"),
     "n14_edge_strength": (["lineitem", "node"], lambda d: "SELECT a.l_partkey AS a, b.l_partkey AS b, sum(CASE WHEN a.l_linenumber % 5 = 0 THEN 2 ELSE 1 END) * 1.0 AS strength FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 GROUP BY a.l_partkey, b.l_partkey"),
-    "n15_foundational": (["in_degree"], lambda d: "SELECT section, CAST(decile AS INT) AS impact FROM (SELECT section, ntile(10) OVER (ORDER BY cited_by_count, section) AS decile FROM in_degree) x WHERE decile > 7"),
-    "w06_sequence_ids": (["out_degree"], lambda d: "SELECT section, 'complex_' || CAST(row_number() OVER (ORDER BY section) - 1 AS STRING) AS chain_id FROM out_degree WHERE reference_count >= 3"),
 }

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 QUESTIONS = ["What does section {s} cover?", "Who is affected by section {s}?", "What are the penalties under section {s}?", "What terms does section {s} define?"]
 TRIGGERS = {"penalty": ["felony", "misdemeanor"], "definition": ["as used in", "means"], "money": ["tax", "wage"], "authority": ["department", "board"]}
-NON_ANSWERS = ["i don't know", "not specified", "cannot determine"]
 
 
 def template_rows() -> str:
@@ -65,7 +64,6 @@ PROGRAM_SQL = {"t05_json_from_text": (["events"], lambda d: f"SELECT event_id, {
 PLANS = {
     "t01_questions": (["doc"], lambda d: f"SELECT section, replace(q, '@', section) AS question FROM doc JOIN (SELECT * FROM (VALUES {template_rows()}) AS v(nth, q)) t ON nth < 10"),
     "t02_applicable": (["doc"], lambda d: f"SELECT DISTINCT section, kind FROM doc JOIN (SELECT * FROM (VALUES {trigger_rows()}) AS v(kind, word)) t ON contains(lower(text), word)"),
-    "t03_answer_validation": (["conversations"], lambda d: f"SELECT conv_id, turn, length(text) >= 20 AND {d.size(d.found('text', '[^ ]+'))} >= 5 AND NOT (" + " OR ".join("contains(lower(text), '{}')".format(p.replace("'", "_")) for p in NON_ANSWERS) + ") AS valid FROM conversations WHERE role = 'assistant'"),
     "t04_strict_validation": (["conversations"], lambda d: f"SELECT conv_id, turn, length(text) >= 25 AND {d.has('text', '[.!?]$')} AS valid FROM conversations WHERE role = 'assistant'"),
     "t08_exploded_formats": (["doc"], lambda d: f"SELECT section, kind, kind || ': ' || title AS row_text FROM doc JOIN (SELECT * FROM (VALUES ('scenario'), ('evidence'), ('jury')) AS v(kind)) t ON true"),
     "t09_composite": (["ranked_edge"], lambda d: f"SELECT src, {d.list_join('CAST(nth AS STRING) || chr(46) || dst', ' ', 'nth')} AS response FROM ranked_edge WHERE nth <= 2 GROUP BY src"),
@@ -76,5 +74,4 @@ PLANS = {
     "t15_strategy_table": (["part"], lambda d: "SELECT * FROM (VALUES ('felony', 'suppression'), ('misdemeanor', 'plea'), ('civil', 'settlement')) AS v(kind, strategy)"),
     "t16_contextual_questions": (["doc"], lambda d: "SELECT section, concat_ws('; ', CASE WHEN contains(text, '$') THEN 'What amounts?' END, CASE WHEN contains(lower(text), 'day') THEN 'What time limits?' END, CASE WHEN contains(lower(text), 'rule') THEN 'What rules?' END, CASE WHEN contains(lower(text), 'department') OR contains(lower(text), 'board') THEN 'Which authorities?' END) AS questions FROM doc"),
     "w07_question_priority": (["doc"], lambda d: f"SELECT section, kind, CASE WHEN n > 2 THEN 0 WHEN n > 0 THEN 1 ELSE 2 END AS priority FROM (SELECT section, kind, sum(CASE WHEN contains(lower(text), word) THEN 1 ELSE 0 END) AS n FROM doc JOIN (SELECT * FROM (VALUES {trigger_rows()}) AS v(kind, word)) t ON true GROUP BY section, kind) x"),
-    "w10_train_eval_split": (["conversations"], lambda d: "SELECT conv_id, CASE WHEN substring(md5(CAST(conv_id AS STRING)), 1, 1) IN ('0', '1') THEN 'eval' ELSE 'train' END AS part FROM conversations GROUP BY conv_id"),
 }

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from citeloom.plans.dialects import Spark
 
-SECTION = "printf('%d.%02d', 101 + ({k} * 37) % 5800, {k} % 90 + 1)"
+#: The 52,200 pairs of chapter and number repeat: each further round of keys has more digits behind its number, so that sections are unique.
+SECTION = "printf('%d.%02d', 101 + ({k} * 37) % 5800, {k} % 90 + 1) || CASE WHEN {k} < 52200 THEN '' ELSE CAST(CAST(floor({k} / 52200.0) AS BIGINT) AS STRING) END"
+#: Article numerals, by number from 1.
+NUMERALS = "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX".split()
 
 
 def relations(d: Spark) -> dict[str, tuple[list[str], str]]:
@@ -53,7 +56,15 @@ def relations(d: Spark) -> dict[str, tuple[list[str], str]]:
         "rule": (
             ["supplier", "node"],
             """SELECT s_suppkey, CAST(101 + (s_suppkey * 379) % 5800 AS STRING) || '-' || CAST(s_suppkey % 60 + 1 AS STRING) || '-' || printf('%02d', s_suppkey % 40) AS rule_id, 101 + (s_suppkey * 379) % 5800 AS chapter,
-            'See rule ' || CAST(3701 + s_suppkey % 50 AS STRING) || '-17-01 and section ' || n.section || ' of the Revised Code.' AS text FROM supplier JOIN node n ON n.p_partkey = s_suppkey % 50""",
+            'See rule ' || CAST(3701 + s_suppkey % 999 AS STRING) || '-17-01 and section ' || n.section || ' of the Revised Code.' || CASE s_suppkey % 3 WHEN 0 THEN ' O.A.C. 5101-2-09 applies, as does 119.03.' WHEN 1 THEN ' Ohio Administrative Code 4731:11:02 does not.' ELSE '' END AS text FROM supplier JOIN node n ON n.p_partkey = s_suppkey""",
+        ),
+        "provision": (
+            ["part"],
+            f"""SELECT p_partkey, numeral, number, 'Article ' || numeral || ', Section ' || CAST(number AS STRING) AS section_id, 'Article ' || numeral || ', Section ' || CAST(number AS STRING) || '|' || p_name AS header,
+            CASE p_partkey % 9 WHEN 0 THEN 'No law shall restrain the liberty of speech or of the press.' WHEN 1 THEN 'All may worship; no person is compelled to attend.' WHEN 2 THEN 'No warrant shall issue but upon probable cause.' WHEN 3 THEN 'The right of trial by jury is inviolate.'
+            WHEN 4 THEN 'Excessive bail is not required.' WHEN 5 THEN 'Private property is inviolate.' WHEN 6 THEN 'The people may petition the general assembly.' WHEN 7 THEN 'The governor sees that laws are executed.' ELSE 'Schools are thorough and efficient.' END
+            || CASE p_partkey % 5 WHEN 0 THEN ' See Article IV, Section ' || CAST(p_size AS STRING) || ' and Article II Section 1.' WHEN 1 THEN ' Compare Art. VIII § ' || CAST(p_size AS STRING) || '.' WHEN 2 THEN ' As section ' || CAST(p_size AS STRING) || ' of article XII has it.' WHEN 3 THEN ' X.' || CAST(p_size AS STRING) || ' holds.' ELSE '' END AS text
+            FROM (SELECT p_partkey, p_name, p_size, p_partkey % 22 + 1 AS number, CASE p_partkey % 20 {' '.join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(NUMERALS))} ELSE 'Q' END AS numeral FROM part) x""",
         ),
         "ranked_edge": (["edge"], "SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS nth FROM edge"),
         "in_degree": (["edge"], "SELECT dst AS section, count(*) AS cited_by_count FROM edge GROUP BY dst"),
