@@ -26,22 +26,13 @@ PLANS = {
     "g07_corpus_info": (["node", "edge"], lambda d: "SELECT (SELECT count(*) FROM node) AS total_sections, (SELECT count(DISTINCT src) FROM edge) AS sections_with_citations, (SELECT count(DISTINCT dst) FROM edge) AS cited_sections"),
     "g08_section_meta": (["doc", "out_degree"], lambda d: "SELECT d.section, d.title, coalesce(o.reference_count, 0) AS citation_count, coalesce(o.reference_count, 0) > 0 AS has_citations FROM doc d LEFT JOIN out_degree o ON o.section = d.section"),
     "g09_metrics": (["node", "in_degree", "out_degree"], lambda d: "SELECT n.section, coalesce(o.reference_count, 0) AS outgoing, coalesce(i.cited_by_count, 0) AS incoming, round(coalesce(i.cited_by_count, 0) + 0.1 * coalesce(o.reference_count, 0), 6) * 1e0 AS centrality FROM node n LEFT JOIN in_degree i ON i.section = n.section LEFT JOIN out_degree o ON o.section = n.section"),
-    "g10_counts": (["courtcase"], lambda d: f"SELECT kind, year, count(*) AS n FROM (SELECT {rules.court_kind('court')} AS kind, substring(decision_date, 1, 4) AS year FROM courtcase) x GROUP BY GROUPING SETS ((kind), (year))"),
-    "g11_extraction_totals": (["courtcase", "case_edge"], lambda d: "SELECT (SELECT count(*) FROM courtcase) AS cases, (SELECT count(*) FROM case_edge) AS from_array, (SELECT count(*) FROM courtcase WHERE opinion LIKE '%Ohio%') AS from_text"),
     "g12_profile": (["courtcase"], lambda d: "SELECT reporter, court, count(*) AS n, min(substring(decision_date, 1, 4)) AS first_year, max(substring(decision_date, 1, 4)) AS last_year, count(DISTINCT court) AS courts FROM courtcase GROUP BY GROUPING SETS ((reporter), (court), (reporter, court))"),
-    "g13_routing_summary": (["courtcase"], lambda d: f"SELECT dest, count(*) AS n FROM (SELECT {rules.court_kind('court')} || '/' || substring(decision_date, 1, 4) AS dest FROM courtcase) x GROUP BY dest ORDER BY n DESC, dest LIMIT 50"),
-    "g14_filter_statistics": (["courtcase"], lambda d: f"SELECT reporter, count(*) AS total, count(CASE WHEN kept THEN 1 END) AS kept, round(100e0 * count(CASE WHEN kept THEN 1 END) / count(*), 6) AS pct FROM (SELECT reporter, {rules.keeps_case('word_count', 'rank_raw', 'CAST(substring(decision_date, 1, 4) AS INT)', 'n_cites')} AS kept FROM courtcase) x GROUP BY reporter"),
     "g15_store_statistics": (["doc", "out_degree"], lambda d: "SELECT count(*) AS total, count(url) AS with_url, count(o.section) AS with_citations, round(avg(length(text)), 6) AS avg_chars FROM doc d LEFT JOIN out_degree o ON o.section = d.section"),
     "g16_degree_statistics": (["in_degree", "out_degree"], lambda d: "SELECT 'in' AS side, count(*) AS n, max(cited_by_count) AS most, min(cited_by_count) AS least, round(avg(cited_by_count), 6) AS mean FROM in_degree UNION ALL SELECT 'out', count(*), max(reference_count), min(reference_count), round(avg(reference_count), 6) FROM out_degree"),
-    "g18_integrity": (["doc"], lambda d: "SELECT round(avg(CASE WHEN url IS NOT NULL THEN 1e0 ELSE 0e0 END), 6) AS with_url, round(avg(CASE WHEN length(text) > 0 THEN 1e0 ELSE 0e0 END), 6) AS with_text FROM doc"),
     "g19_progress": (["events"], lambda d: "SELECT event_type, count(*) AS total, count(CASE WHEN value > 0 THEN 1 END) AS with_value FROM events GROUP BY event_type"),
-    "g20_title_context": (["edge"], lambda d: "SELECT dst, count(*) AS n FROM edge WHERE src LIKE '1%' GROUP BY dst ORDER BY n DESC, dst LIMIT 10"),
     "g21_internal_external": (["edge"], lambda d: "SELECT count(CASE WHEN substring(src, 1, 2) = substring(dst, 1, 2) THEN 1 END) AS internal, count(CASE WHEN substring(src, 1, 2) <> substring(dst, 1, 2) THEN 1 END) AS external FROM edge"),
     "g22_reporter_breakdown": (["courtcase"], lambda d: hist(d, "reporter", "courtcase")),
-    "g24_word_overlap": (["conversations"], lambda d: f"SELECT a.conv_id, a.turn, {d.overlap(W(d, 'a.text'), W(d, 'b.text'))} AS common, {d.size(W(d, 'a.text'))} AS n_words FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1"),
     "w01_top_cited": (["in_degree", "doc"], lambda d: "SELECT d.section, d.title, i.cited_by_count FROM in_degree i JOIN doc d ON d.section = i.section ORDER BY cited_by_count DESC, d.section LIMIT 10"),
-    "w02_top_cases": (["courtcase", "case_edge"], lambda d: "SELECT c.case_id, coalesce(n, 0) AS incoming FROM courtcase c LEFT JOIN (SELECT dst, count(*) AS n FROM case_edge GROUP BY dst) e ON e.dst = c.case_id ORDER BY incoming DESC, c.case_id LIMIT 50"),
-    "w03_top_years": (["courtcase"], lambda d: "SELECT substring(decision_date, 1, 4) AS year, count(*) AS n FROM courtcase GROUP BY substring(decision_date, 1, 4) ORDER BY year DESC LIMIT 20"),
     "w04_last_wins": (["lineitem"], lambda d: "SELECT l_orderkey, l_partkey FROM (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey) AS rn FROM lineitem) x WHERE rn = 1"),
     "w05_first_per_group": (["ranked_edge"], lambda d: "SELECT src, dst, CAST(nth AS INT) AS nth FROM ranked_edge WHERE nth <= 3"),
     "w08_early_exit": (["doc"], lambda d: "SELECT section FROM doc WHERE contains(lower(text), 'tenant') ORDER BY section LIMIT 10"),

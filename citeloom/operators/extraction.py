@@ -33,7 +33,6 @@ PLANS = {
     "o23_multi_corpus": (["rule"], lambda d: f"SELECT rule_id, 'oac' AS corpus, {d.each(d.found('text', r'\d{3,4}-\d{1,2}-\d{1,2}'))} AS ref FROM rule UNION ALL SELECT rule_id, 'orc', {d.each(d.found('text', REFERENCE, 1))} FROM rule"),
     "o24_reference_class": (["rule"], lambda d: "SELECT rule_id, " + rules.cases([(d.has("ref", r"^\d{3,4}\.\d+$"), "'orc'"), (d.has("ref", r"^\d+-\d+-\d+$"), "'oac'"), (d.has("ref", r"^[IVX]+-\d+$"), "'constitution'"), (d.has("ref", r"^case_"), "'case'")], "'unknown'") + " AS kind FROM (SELECT rule_id, CASE s_suppkey % 5 WHEN 0 THEN '2903.01' WHEN 1 THEN rule_id WHEN 2 THEN 'IV-2' WHEN 3 THEN 'case_5' ELSE 'x' END AS ref FROM rule) x"),
     "o25_reference_validation": (["rule"], lambda d: f"SELECT rule_id, {d.has('rule_id', r'^(?:\d{3,4}-\d{1,2}-\d{1,2})')} AS valid FROM rule"),
-    "o26_typed_citations": (["doc"], typed),
     "o26_citation_offsets": (["doc"], offsets),
     "o28_case_citations": (["courtcase"], lambda d: " UNION ALL ".join(f"SELECT case_id, '{k}' AS kind, {d.each(d.found('opinion', '(?i)' + p))} AS cite FROM courtcase" for k, p in fixed.CASE_CITES.items())),
     "o29_relationship": (["courtcase"], lambda d: f"SELECT case_id, {rules.first_pattern(d, 'opinion', fixed.RELATIONS, 'cited')} AS relationship FROM courtcase"),

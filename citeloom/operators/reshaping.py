@@ -23,15 +23,12 @@ PLANS = {
     "o03_mapping_id": (["doc"], lambda d: f"SELECT section, {d.at(d.found('header', r'Section\s+(\d+\.\d+)', 1), 0)} AS id FROM doc WHERE {d.has('header', r'Section\s+\d+\.\d+')}"),
     "o04_case_id": (["courtcase"], lambda d: "SELECT case_id, coalesce('case_' || CAST(case_id AS STRING), replace(replace(name, ' ', '_'), '.', '')) AS identifier FROM courtcase"),
     "o05_text_stats": (["documents"], lambda d: f"SELECT doc_id, {d.size(d.found('text', WORDS))} AS word_count, {d.size('split(text, chr(10))')} AS paragraph_count, CAST(length(text) AS INT) AS n_code_points FROM documents"),
-    "o06_projection": (["doc"], lambda d: f"SELECT coalesce(url, '') AS url, substring({d.sha256('url')}, 1, 16) AS url_hash, coalesce(header, '') AS header FROM doc"),
     "o07_flatten": (["doc"], lambda d: "SELECT section, header || ' ' || replace(text, chr(10), ' ') AS content FROM doc"),
     "o09_case_flatten": (["courtcase"], lambda d: "SELECT CAST(case_id AS STRING) AS case_id, name, decision_date, reporter, court, word_count, CAST(length(opinion) AS INT) AS char_count, n_cites AS citation_count, rank_raw FROM courtcase"),
     "o10_official_citation": (["courtcase"], lambda d: f"SELECT case_id, coalesce({d.at(d.found('opinion', r'\d{4}-Ohio-\d+'), 0)}, {d.at(d.found('opinion', r'\d+ Ohio [A-Za-z.]+ \d[a-z]+ \d+'), 0)}, '') AS cite FROM courtcase"),
     "o11_opinion_text": (["courtcase"], lambda d: "SELECT o_custkey, " + d.list_join("'[MAJORITY - court]' || chr(10) || opinion", "\\n\\n" if d.name == "spark" else "\n\n", "case_id") + " AS opinions FROM courtcase WHERE trim(opinion) <> '' GROUP BY o_custkey"),
-    "o12_case_metadata": (["courtcase"], lambda d: f"SELECT case_id, {d.at(d.found('substring(opinion, 1, 500)', r'(\d{4})-Ohio-\d+', 1), 0)} || '-01-01' AS decided FROM courtcase WHERE {d.has('opinion', r'\d{4}-Ohio-\d+')}"),
     "o15_quality_predicate": (["courtcase"], lambda d: f"SELECT case_id, {rules.keeps_case('word_count', 'rank_raw', 'CAST(substring(decision_date, 1, 4) AS INT)', 'n_cites')} AS kept FROM courtcase"),
     "o16_reject_reason": (["courtcase"], lambda d: f"SELECT case_id, {rules.why_rejected('word_count', 'rank_raw', 'CAST(substring(decision_date, 1, 4) AS INT)', 'n_cites')} AS reason FROM courtcase"),
-    "o17_valid_records": (["documents"], lambda d: "SELECT doc_id FROM documents WHERE text IS NOT NULL AND length(text) >= 50"),
     "o18_valid_links": (["pages"], lambda d: "SELECT page_id, url FROM pages WHERE url IS NOT NULL AND NOT starts_with(url, 'javascript:') AND NOT contains(url, '#')" if d.name == "duck" else "SELECT page_id, url FROM pages WHERE url IS NOT NULL AND NOT startswith(url, 'javascript:') AND NOT contains(url, '#')"),
     "o72_document_hash": (["documents"], lambda d: f"SELECT doc_id, {d.sha256('text')} AS sha, md5(text) AS md, substring({d.sha256('source')}, 1, 16) AS short FROM documents"),
     "w11_numeric_sort": (["documents"], lambda d: "SELECT source, CAST(substring(source, 4) AS INT) AS n FROM (SELECT DISTINCT source FROM documents) x ORDER BY n"),

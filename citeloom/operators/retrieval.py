@@ -13,20 +13,10 @@ PLANS = {
     "q01_section_record": (["doc", "in_degree", "out_degree"], lambda d: "SELECT d.section, d.title, coalesce(o.reference_count, 0) AS refs, coalesce(i.cited_by_count, 0) AS cited FROM doc d LEFT JOIN in_degree i ON i.section = d.section LEFT JOIN out_degree o ON o.section = d.section"),
     "q03_complete_context": (["doc", "edge"], lambda d: f"SELECT e.src, {d.set_join('e.dst')} AS direct, sum(length(n.text)) * 1.0 AS context_chars FROM edge e JOIN doc n ON n.section = e.dst GROUP BY e.src"),
     "q04_context_text": (["doc", "edge"], lambda d: f"SELECT e.src, {d.list_join('n.section || chr(58) || substring(n.text, 1, 500)', ' ', 'n.section')} AS context FROM edge e JOIN doc n ON n.section = e.dst GROUP BY e.src"),
-    "q05_prompt": (["doc"], lambda d: "SELECT section, 'Section: ' || section || ' Text: ' || substring(text, 1, 1000) AS prompt FROM doc"),
-    "q07_search_and_query": (["doc"], lambda d: "SELECT section FROM doc WHERE contains(lower(text), 'lease') ORDER BY section LIMIT 5"),
-    "q08_compare": (["edge"], lambda d: "SELECT a, b, CASE WHEN forward AND backward THEN 'mutual' WHEN forward THEN 'a_cites_b' ELSE 'b_cites_a' END AS relation FROM (SELECT least(src, dst) AS a, greatest(src, dst) AS b, max(CASE WHEN src < dst THEN 1 ELSE 0 END) = 1 AS forward, max(CASE WHEN src > dst THEN 1 ELSE 0 END) = 1 AS backward FROM edge GROUP BY least(src, dst), greatest(src, dst)) x"),
     "q11_cross_corpus": (["rule", "doc"], lambda d: f"SELECT section, source, target, ref FROM {corpora(d)} c"),
-    "q12_cross_forward": (["rule", "doc"], lambda d: f"SELECT source, section, count(*) AS n, {d.set_join('target')} AS corpora FROM {corpora(d)} c GROUP BY source, section"),
     "q13_matrix": (["rule", "doc"], lambda d: f"SELECT source, target, count(*) AS n FROM {corpora(d)} c GROUP BY CUBE (source, target)"),
-    "q15_search_rank": (["courtcase"], lambda d: f"SELECT case_id, round(0.4 * n_cites / 5 + 0.25 * {rules.court_level('court')} / 110 + 0.2 * (CAST(substring(decision_date, 1, 4) AS INT) - 1990) / 20, 6) * 1e0 AS score FROM courtcase"),
     "q16_multi_query": (["doc"], lambda d: "SELECT section, min(q) AS first_query FROM (SELECT section, q, row_number() OVER (PARTITION BY q ORDER BY section) AS rn FROM doc JOIN (SELECT * FROM (VALUES ('lease'), ('tax'), ('wage')) AS v(q)) w ON contains(lower(text), q)) x WHERE rn <= 10 GROUP BY section ORDER BY section LIMIT 20"),
-    "q17_comparable": (["courtcase"], lambda d: "SELECT a.case_id AS a, b.case_id AS b FROM courtcase a JOIN courtcase b ON a.court = b.court AND a.reporter = b.reporter AND a.o_custkey = b.o_custkey AND abs(a.n_cites - b.n_cites) <= 1 AND a.case_id < b.case_id"),
-    "q18_similarity": (["courtcase"], lambda d: "SELECT a.case_id AS a, b.case_id AS b, 40 * CASE WHEN a.n_cites = b.n_cites THEN 1 ELSE 0 END + CASE WHEN a.court = b.court THEN 20 ELSE 10 END + CASE WHEN a.reporter = b.reporter THEN 15 ELSE 0 END AS score FROM courtcase a JOIN courtcase b ON a.o_custkey = b.o_custkey AND a.case_id < b.case_id"),
-    "q19_valuation": (["courtcase"], lambda d: "SELECT reporter, round(avg(least(word_count, 2500) * 1.5e0), 6) * 1e0 AS estimate FROM courtcase GROUP BY reporter"),
-    "q20_upper_median": (["courtcase"], lambda d: f"SELECT reporter, word_count AS upper_median FROM (SELECT reporter, word_count, row_number() OVER (PARTITION BY reporter ORDER BY word_count, case_id) AS rn, count(*) OVER (PARTITION BY reporter) AS n FROM courtcase) x WHERE rn = {d.div('n', '2')} + 1"),
     "q21_judge_analytics": (["courtcase"], lambda d: "SELECT court, reporter, count(*) AS n, round(avg(word_count), 6) AS mean_words FROM courtcase GROUP BY court, reporter"),
     "q22_membership": (["doc"], lambda d: f"SELECT section FROM (SELECT section, {rules.areas('lower(text)', fixed.AREAS, 2)} AS a FROM doc) x WHERE contains(a, 'criminal_law')"),
-    "q23_authority_filter": (["courtcase"], lambda d: f"SELECT case_id, {rules.court_level('court')} AS level FROM courtcase WHERE {rules.court_level('court')} >= 80 AND decision_date <= '1997-01-01'"),
     "q24_negative_treatment": (["courtcase", "case_edge"], lambda d: f"SELECT e.dst, max(CASE WHEN {rules.first_pattern(d, 'c.opinion', fixed.RELATIONS, 'cited')} IN ('overruled', 'questioned') THEN 1 ELSE 0 END) AS negative FROM case_edge e JOIN courtcase c ON c.case_id = e.src GROUP BY e.dst"),
 }

@@ -65,13 +65,8 @@ PLANS = {
     "t01_questions": (["doc"], lambda d: f"SELECT section, replace(q, '@', section) AS question FROM doc JOIN (SELECT * FROM (VALUES {template_rows()}) AS v(nth, q)) t ON nth < 10"),
     "t02_applicable": (["doc"], lambda d: f"SELECT DISTINCT section, kind FROM doc JOIN (SELECT * FROM (VALUES {trigger_rows()}) AS v(kind, word)) t ON contains(lower(text), word)"),
     "t04_strict_validation": (["conversations"], lambda d: f"SELECT conv_id, turn, length(text) >= 25 AND {d.has('text', '[.!?]$')} AS valid FROM conversations WHERE role = 'assistant'"),
-    "t08_exploded_formats": (["doc"], lambda d: f"SELECT section, kind, kind || ': ' || title AS row_text FROM doc JOIN (SELECT * FROM (VALUES ('scenario'), ('evidence'), ('jury')) AS v(kind)) t ON true"),
     "t09_composite": (["ranked_edge"], lambda d: f"SELECT src, {d.list_join('CAST(nth AS STRING) || chr(46) || dst', ' ', 'nth')} AS response FROM ranked_edge WHERE nth <= 2 GROUP BY src"),
-    "t10_qa_pairs": (["conversations"], lambda d: "SELECT a.conv_id, a.turn, a.text AS question, b.text AS answer FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant'"),
-    "t11_fallback_rows": (["doc"], lambda d: "SELECT section, 'Explain section ' || section AS instruction, substring(text, 1, 100) AS response FROM doc"),
-    "t12_chat_text": (["conversations"], lambda d: f"SELECT conv_id, {d.list_join("'<|' || role || '|>' || chr(10) || text || chr(10)", '', 'turn', 'role', 'text')} || '<|endoftext|>' AS chat FROM conversations GROUP BY conv_id"),
     "t13_training_union": (["doc", "conversations"], lambda d: "SELECT section AS id, title AS question, CAST(NULL AS STRING) AS role FROM doc UNION ALL SELECT CAST(conv_id AS STRING), text, role FROM conversations"),
     "t15_strategy_table": (["part"], lambda d: "SELECT * FROM (VALUES ('felony', 'suppression'), ('misdemeanor', 'plea'), ('civil', 'settlement')) AS v(kind, strategy)"),
-    "t16_contextual_questions": (["doc"], lambda d: "SELECT section, concat_ws('; ', CASE WHEN contains(text, '$') THEN 'What amounts?' END, CASE WHEN contains(lower(text), 'day') THEN 'What time limits?' END, CASE WHEN contains(lower(text), 'rule') THEN 'What rules?' END, CASE WHEN contains(lower(text), 'department') OR contains(lower(text), 'board') THEN 'Which authorities?' END) AS questions FROM doc"),
     "w07_question_priority": (["doc"], lambda d: f"SELECT section, kind, CASE WHEN n > 2 THEN 0 WHEN n > 0 THEN 1 ELSE 2 END AS priority FROM (SELECT section, kind, sum(CASE WHEN contains(lower(text), word) THEN 1 ELSE 0 END) AS n FROM doc JOIN (SELECT * FROM (VALUES {trigger_rows()}) AS v(kind, word)) t ON true GROUP BY section, kind) x"),
 }

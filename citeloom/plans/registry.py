@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.operators import aggregates, answers, classification, extraction, files, graph, provisions, reshaping, retrieval, statutes, training
+from citeloom.operators import aggregates, answers, classification, extraction, files, graph, provisions, reports, reshaping, retrieval, statutes, training
 from citeloom.plans.corpora import prelude
 from citeloom.plans.dialects import Duck, Spark
 from citeloom.streaming import incremental
@@ -17,7 +17,7 @@ def planned(needs: list[str], body: Callable[[Spark], str]) -> Callable[[SparkSe
 
 
 #: Operators as plans in either dialect.
-PLANS = {**reshaping.PLANS, **extraction.PLANS, **classification.PLANS, **aggregates.PLANS, **graph.PLANS, **retrieval.PLANS, **training.PLANS, **answers.PLANS}
+PLANS = {**reshaping.PLANS, **extraction.PLANS, **classification.PLANS, **aggregates.PLANS, **graph.PLANS, **retrieval.PLANS, **training.PLANS, **answers.PLANS, **reports.PLANS}
 #: Operators as programs over DataFrames.
 PROGRAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {**graph.PROGRAMS, **training.PROGRAMS, **incremental.PROGRAMS, **files.PROGRAMS}
 #: SQL for programs, in the oracle's dialect: (relations, body).
