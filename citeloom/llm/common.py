@@ -118,7 +118,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     ends = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     ends = ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    ends = cut(ends.repartition("u").mapInArrow(forest, "u long, v long"))
+    ends = cut(ends.repartition("u").mapInArrow(forest, "u long, v long").distinct())
     placed = None
     while placed is None or not ends.isEmpty():
         both = ends.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("v").alias("y")), F.struct(F.col("v").alias("x"), F.col("u").alias("y")))).alias("e")).select("e.*")
