@@ -1,7 +1,7 @@
 """Every plan gives the oracle's rows; programs give those of plain Python; fixed cases by hand."""
 
 import os
-from collections import deque
+from collections import Counter, deque
 from decimal import Decimal
 
 import duckdb
@@ -71,6 +71,13 @@ def test_chains_and_cover(spark):
             emitted.append(s)
             covered |= set(want[s])
     assert sorted(r.start for r in graph.n02(spark, SF).collect()) == emitted
+    assert {(r.start, r.pos, r.section) for r in graph.n05(spark, SF).collect()} == {(s, i, x) for s, c in want.items() for i, x in enumerate(c[:4])}
+    assert {r.depth: r.n_chains for r in graph.g17(spark, SF).collect()} == Counter(map(len, want.values()))
+    nodes = {r.section for r in graph.relation(spark, SF, "node").select("section").collect()}
+    kinds = {(("complex" if len(want[s]) >= 4 else "simple"), s) for s in emitted} | {("isolated", s) for s in nodes - set(want)}
+    assert {(r.category, r.section) for r in graph.g06(spark, SF).collect()} == kinds
+    docs = {r.section: r for r in graph.relation(spark, SF, "doc").collect()}
+    assert {r.start: (r.titles, r.n_chars) for r in graph.n04(spark, SF).collect()} == {s: ("; ".join(docs[x].title for x in c), sum(len(docs[x].text) for x in c)) for s, c in want.items()}
 
 
 def test_pagerank_sums_to_one(spark):
