@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.common import cut, let, small_side, words_of
 
-#: Metrics in whole numbers, and the least spread each is judged by, in the same units.
+#: Metrics in whole numbers, and the spread that takes the place of a quartile range of zero, in the same units.
 #: Symbols, repeated words and upper-case letters are per thousand words or characters, duplicate lines
 #: per thousand lines, the mean word length in hundredths.
 METRICS = {"m_symbols": 100, "m_repeats": 300, "m_dup_lines": 500, "m_word_len": 150, "m_upper": 150}
 #: Metrics with a lower limit as well.
 TWO_SIDED = {"m_word_len"}
-SPREADS = 4
+#: Quartile ranges from a quartile to its limit. Chosen on the labels of one table: from 5 to 15, no document labelled good went there.
+SPREADS = 6
+#: A source of fewer rows takes its language's quartiles.
 LEAST_GROUP = 100
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -91,9 +93,11 @@ def thresholds(metrics: DataFrame) -> DataFrame:
     metrics: rows of lang, source and METRICS. A group's sketch of a metric is its counts by bin (bin_of):
     bins are fixed, so sketches merge by adding counts, in any order and with the same result; a group has
     some hundred bins at most, and partial aggregation keeps a hot source's shuffle to its bins. A metric's
-    limit is the median and SPREADS times the distance from it to the third quartile, or the least spread if
-    that is larger; m_word_len has the mirrored lower limit. A source of fewer than LEAST_GROUP rows takes
-    its language's merged sketch.
+    limit is the third quartile and SPREADS times the range between the first and the third; m_word_len has
+    the mirrored lower limit. The range is the source's or its language's, whichever is larger, so that a
+    source of much alike texts keeps what is usual in its language; where both are zero, METRICS has the
+    spread. Copies of one text that are under half of a group leave some of its range, wherever they lie. A
+    source of fewer than LEAST_GROUP rows takes its language's merged sketch.
     """
     long = metrics.select("lang", "source", F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), bin_of(F.col(k)).alias("bin")) for k in METRICS))).alias("x")).select("lang", "source", "x.*")
     fine = long.groupBy("lang", "source", "metric", "bin").agg(F.count("*").alias("n"))
@@ -103,15 +107,19 @@ def thresholds(metrics: DataFrame) -> DataFrame:
     up_to = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     ranked = sketch.withColumn("upto", F.sum("n").over(up_to)).withColumn("total", F.sum("n").over(Window.partitionBy(*group)))
     at = lambda pct: F.min(F.when(F.col("upto") * 100 >= F.col("total") * pct, value_of(F.col("bin"))))
-    quartiles = ranked.groupBy(*group).agg(F.max("total").alias("total"), at(25).alias("q1"), at(50).alias("q2"), at(75).alias("q3"))
-    least = F.element_at(F.create_map(*(x for k, v in METRICS.items() for x in (F.lit(k), F.lit(v)))), F.col("metric"))
-    limits = quartiles.select(
-        *group, "total", (F.col("q2") + F.greatest(least, (F.col("q3") - F.col("q2")) * SPREADS)).alias("hi"),
-        F.when(F.col("metric").isin(*TWO_SIDED), F.col("q2") - F.greatest(least, (F.col("q2") - F.col("q1")) * SPREADS)).alias("lo"),
-    )
-    by_group = limits.groupBy("lang", "source").agg(F.max("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("metric", F.struct("lo", "hi")))).alias("limits"))
-    whole = by_group.where("source IS NULL").select("lang", F.col("limits").alias("of_lang"))
-    return by_group.where("source IS NOT NULL").join(whole, "lang").select("lang", "source", F.when(F.col("total") >= LEAST_GROUP, F.col("limits")).otherwise(F.col("of_lang")).alias("limits"))
+    quartiles = ranked.groupBy(*group).agg(F.max("total").alias("total"), at(25).alias("q1"), at(75).alias("q3"))
+    by_group = quartiles.groupBy("lang", "source").agg(F.max("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("metric", F.struct("q1", "q3")))).alias("own"))
+    whole = by_group.where("source IS NULL").select("lang", F.col("own").alias("of_lang"))
+    own = F.when(F.col("total") >= LEAST_GROUP, F.col("own")).otherwise(F.col("of_lang"))
+    width = lambda q: q["q3"] - q["q1"]
+
+    def limit(k: str, least: int) -> Column:
+        widest = F.greatest(width(own[k]), width(F.col("of_lang")[k]))
+        spread = F.when(widest > 0, widest * SPREADS).otherwise(least)
+        lo = own[k]["q1"] - spread if k in TWO_SIDED else F.lit(None).cast("long")
+        return F.struct(lo.alias("lo"), (own[k]["q3"] + spread).alias("hi")).alias(k)
+
+    return by_group.where("source IS NOT NULL").join(whole, "lang").select("lang", "source", F.struct(*(limit(k, v) for k, v in METRICS.items())).alias("limits"))
 
 
 def verdict(m: Column, limits: Column) -> Column:

@@ -64,11 +64,14 @@ def test_thresholds(spark):
         e = max(v.bit_length() - 7, 0)
         return v >> e << e
 
-    def limits(values, metric):
+    def quartiles(values):
         values = sorted(map(held, values))
-        q1, q2, q3 = (values[-(-len(values) * p // 100) - 1] for p in (25, 50, 75))
-        least = quality.METRICS[metric]
-        return q2 - max(least, (q2 - q1) * quality.SPREADS) if metric in quality.TWO_SIDED else None, q2 + max(least, (q3 - q2) * quality.SPREADS)
+        return [values[-(-len(values) * p // 100) - 1] for p in (25, 75)]
+
+    def limits(own, lang, metric):
+        (q1, q3), (l1, l3) = quartiles(own), quartiles(lang)
+        spread = quality.SPREADS * max(q3 - q1, l3 - l1) or quality.METRICS[metric]
+        return q1 - spread if metric in quality.TWO_SIDED else None, q3 + spread
 
     groups, langs = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -82,6 +85,32 @@ def test_thresholds(spark):
         mine = groups[r.lang, r.source] if len(groups[r.lang, r.source]) >= quality.LEAST_GROUP else langs[r.lang]
         ok = True
         for m in quality.METRICS:
-            lo, hi = limits([x[m] for x in mine], m)
+            lo, hi = limits([x[m] for x in mine], [x[m] for x in langs[r.lang]], m)
             ok = ok and r[m] <= hi and (lo is None or r[m] >= lo)
         assert r.kept == ok, r
+
+
+def test_limits_follow_the_group(spark):
+    wide = [("en", "wide", 400 + i) for i in range(200)]
+    copies = [("en", "wide", 500) for _ in range(150)]
+    even = [("de", "even", 500) for _ in range(200)] + [("de", "few", 900)]
+    rows = spark.createDataFrame([(a, b, 0, 0, 0, c, 0) for a, b, c in wide + copies + even], ["lang", "source", *quality.METRICS])
+    got = {r.source: r.limits.m_word_len for r in quality.thresholds(rows).collect()}
+
+    def held(v):
+        e = max(v.bit_length() - 7, 0)
+        return v >> e << e
+
+    values = sorted(held(c) for _, _, c in wide + copies)
+    q1, q3 = (values[-(-len(values) * p // 100) - 1] for p in (25, 75))
+    assert q3 > q1
+    assert (got["wide"].lo, got["wide"].hi) == (q1 - quality.SPREADS * (q3 - q1), q3 + quality.SPREADS * (q3 - q1))
+    least = quality.METRICS["m_word_len"]
+    assert (got["even"].lo, got["even"].hi) == (held(500) - least, held(500) + least) == (got["few"].lo, got["few"].hi)
+
+
+def test_alike_source_has_its_languages_range(spark):
+    rows = [("en", "wide", 400 + i) for i in range(200)] + [("en", "copies", 500)] * 150
+    rows = spark.createDataFrame([(a, b, 0, 0, 0, c, 0) for a, b, c in rows], ["lang", "source", *quality.METRICS])
+    got = {r.source: (r.limits.m_word_len.lo, r.limits.m_word_len.hi) for r in quality.thresholds(rows).collect()}
+    assert got == {"wide": (448 - 6 * 96, 544 + 6 * 96), "copies": (500 - 6 * 28, 500 + 6 * 28)}
