@@ -11,7 +11,6 @@ def corpora(d) -> str:  # noqa: ANN001
 
 PLANS = {
     "q01_section_record": (["doc", "in_degree", "out_degree"], lambda d: "SELECT d.section, d.title, coalesce(o.reference_count, 0) AS refs, coalesce(i.cited_by_count, 0) AS cited FROM doc d LEFT JOIN in_degree i ON i.section = d.section LEFT JOIN out_degree o ON o.section = d.section"),
-    "q03_complete_context": (["doc", "edge"], lambda d: f"SELECT e.src, {d.set_join('e.dst')} AS direct, sum(length(n.text)) * 1.0 AS context_chars FROM edge e JOIN doc n ON n.section = e.dst GROUP BY e.src"),
     "q04_context_text": (["doc", "edge"], lambda d: f"SELECT e.src, {d.list_join('n.section || chr(58) || substring(n.text, 1, 500)', ' ', 'n.section')} AS context FROM edge e JOIN doc n ON n.section = e.dst GROUP BY e.src"),
     "q11_cross_corpus": (["rule", "doc"], lambda d: f"SELECT section, source, target, ref FROM {corpora(d)} c"),
     "q13_matrix": (["rule", "doc"], lambda d: f"SELECT source, target, count(*) AS n FROM {corpora(d)} c GROUP BY CUBE (source, target)"),
