@@ -138,10 +138,25 @@ def g17(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROGRAMS = {"n01_chains": n01, "n02_chain_cover": n02, "n04_chain_texts": n04, "n05_truncated_chains": n05, "n08_pagerank": n08, "n13_shortest_path": n13, "g06_categories": g06, "g17_chain_depths": g17}
 PROGRAM_SQL: dict = {}
 
+
+def related(most: int) -> str:
+    """Up to most sections that belong to each: of the first it cites, those that exist; then, as far as there is room, of the first that cite it.
+
+    Places are counted before it is asked whether a section exists. Both windows have a constant limit, so that Spark cuts a hot section before it shuffles.
+    """
+    return f"""
+, forward AS (SELECT r.src AS section, r.dst AS related FROM ranked_edge r WHERE EXISTS (SELECT 1 FROM node n WHERE n.section = r.dst) AND r.nth <= {most} AND r.src <> r.dst),
+room AS (SELECT section, {most} - count(*) AS room FROM forward GROUP BY section),
+reverse AS (SELECT section, related, nth FROM (SELECT dst AS section, src AS related, row_number() OVER (PARTITION BY dst ORDER BY src) AS nth FROM edge) x WHERE nth <= {most})
+SELECT section, related, 'cited_by_primary' AS relation FROM forward
+UNION ALL SELECT v.section, v.related, 'cites_primary' FROM reverse v LEFT JOIN room m ON m.section = v.section LEFT JOIN forward f ON f.section = v.section AND f.related = v.related
+WHERE v.nth <= coalesce(m.room, {most}) AND v.related <> v.section AND f.related IS NULL AND EXISTS (SELECT 1 FROM node n WHERE n.section = v.related)"""
+
+
 AROUND = "SELECT src AS a, dst AS b FROM edge UNION SELECT dst, src FROM edge"
 
 PLANS = {
-    "n06_related": (["ranked_edge", "edge"], lambda d: "SELECT src AS section, dst AS related, 'cited_by_primary' AS relation FROM ranked_edge WHERE nth <= 3 UNION ALL SELECT e.dst, e.src, 'cites_primary' FROM edge e WHERE NOT EXISTS (SELECT 1 FROM edge f WHERE f.src = e.dst AND f.dst = e.src)"),
+    "n06_related": (["ranked_edge", "edge", "node"], lambda d: related(5)),
     "n07_neighbourhood": (["edge"], lambda d: f", around AS ({AROUND}), two AS (SELECT a, b, 1 AS dist FROM around UNION ALL SELECT x.a, y.b, 2 FROM around x JOIN around y ON y.a = x.b AND y.b <> x.a) SELECT a, b, min(dist) AS dist, round(greatest(0.2, 1 - 0.2 * min(dist)), 6) * 1e0 AS opacity FROM two GROUP BY a, b"),
     "n09_ui_graph": (["edge"], lambda d: "SELECT src AS section, 'out' AS side, dst AS other FROM edge UNION ALL SELECT dst, 'in', src FROM edge"),
     "n10_authority_level": (["in_degree"], lambda d: "SELECT section, CASE WHEN cited_by_count > 50 THEN 'very-high' WHEN cited_by_count > 20 THEN 'high' WHEN cited_by_count > 5 THEN 'medium' ELSE 'low' END AS level FROM in_degree"),
