@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.llm import bytepairs
 from citeloom.llm.common import table
+from citeloom.llm.divergence import divergence
+from citeloom.llm.filters import filter_audit
 from citeloom.llm.jaccard import jaccard_components
 from citeloom.llm.lines import dedup_lines
 from citeloom.llm.mixing import placed
@@ -69,6 +72,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    ids = bytepairs.encode(table(spark, sf_dir, "documents"), ranks)
+    ids = ids.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256))
+    return bytepairs.decode(ids, ranks, ["doc_id", "n_tokens", "ids_sha256"]).select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op4_jaccard_join, op5_exact_topk, op6_sentencepiece, op7_line_dedup, op8_quality, op9_suffix_dedup, op10_pii, pipeline)
+    f.__name__: f for f in (op1_sharding, op2_mixing, op3_url_filter, op4_jaccard_join, op5_exact_topk, op6_sentencepiece, op7_line_dedup, op8_quality, op9_suffix_dedup, op10_pii, op11_filter_audit, op12_source_divergence, op13_byte_bpe, pipeline)
 }
 
 ORACLES: dict[str, str] = {
@@ -120,4 +138,51 @@ kept AS (
 ), counts AS (SELECT doc_id, count(*) AS n FROM units GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(c.n, 0)::BIGINT AS n_units, coalesce(s.n, 0)::BIGINT AS n_removed, coalesce(s.spans, '') AS removed_spans
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counts c USING (doc_id) LEFT JOIN spans s USING (doc_id)""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+  FROM d JOIN w USING (doc_id) LEFT JOIN l USING (doc_id)
+), g AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, failed),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (SELECT filter_order, s AS step, filter_order[s] AS own, filter_order[1:s - 1] AS before FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s)),
+told AS (
+  SELECT part, filter_order, step, own, n, good, toxic, failed, contains(failed, own) AS fails,
+    len(list_intersect(string_split(failed, ''), string_split(before, ''))) > 0 AND failed <> '' AND before <> '' AS gone FROM g, steps
+), sums AS (
+  SELECT part, filter_order, step, own, sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN failed = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM sums""",
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), t AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[a-z\x{80}-\x{10FFFF}]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+whole AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+total AS (SELECT lang, source, sum(n) AS total FROM whole GROUP BY lang, source),
+p AS (SELECT w.lang, w.source, w.term, w.n, 1 + (1000000000::HUGEINT * (w.n + 5)) // (s.total + 5 * z.v) AS p FROM whole w JOIN total s USING (lang, source) JOIN size z USING (lang)),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // ((SELECT sum(total) FROM total x WHERE x.lang = whole.lang) + 5 * (SELECT v FROM size z WHERE z.lang = whole.lang)) AS q
+  FROM whole GROUP BY lang, term
+), f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT p.lang, p.source, 'term', p.term, (p.p - q.q)::BIGINT FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
