@@ -24,7 +24,7 @@ from citeloom.llm.common import ship
 from citeloom.llm.sentencepieces import part_sizes
 
 #: Slices of a generation of those whose ids are remembered, and the longest of them in bytes.
-CACHED, LONGEST = 400_000, 128
+CACHED, LONGEST = 100_000, 128
 #: The rank of no pair.
 NEVER = 1 << 40
 #: Code points of a long text that are parted at once, and those of a block of the scan.
@@ -265,8 +265,8 @@ def vocabulary(df: DataFrame, ranks: str):
         return df.sparkSession.sparkContext.broadcast((f.read(), class_table()))
 
 
-def encode(docs: DataFrame, ranks: str) -> DataFrame:
-    """(doc_id, ids, offsets, n_tokens) for each row of docs; ranks: path of a rank file that the driver can read.
+def encode(docs: DataFrame, ranks: str, back: bool = False) -> DataFrame:
+    """(doc_id, ids, offsets, n_tokens) for each row of docs, and with back the bytes decoded from ids and offsets; ranks: path of a rank file that the driver can read.
 
     ids are those of the whole text without special tokens, offsets the byte at which each id's bytes start in
     the text. A null or empty text has empty lists. Rows stand alone, so repeated rows and null ids are
@@ -274,6 +274,7 @@ def encode(docs: DataFrame, ranks: str) -> DataFrame:
     encoded about two megabytes at once, a longer one by windows, with a bounded memory of slices.
     """
     shared = vocabulary(docs, ranks)
+    names = ["doc_id", "ids", "offsets", "n_tokens", *["bytes"] * back]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = loaded(shared.value)
@@ -287,10 +288,22 @@ def encode(docs: DataFrame, ranks: str) -> DataFrame:
                 place = np.concatenate(([0], np.cumsum(v.lengths[ids])))
                 offsets = place[:-1] - np.repeat(place[ends[:-1]], count)
                 lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (ids, offsets)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *lists, pa.array(count, pa.int64())], names=["doc_id", "ids", "offsets", "n_tokens"])
+                more = [whole_bytes(v, ids, offsets, count)] if back else []
+                yield pa.RecordBatch.from_arrays([batch.column(0), *lists, pa.array(count, pa.int64()), *more], names=names)
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>, n_tokens long")
+    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>, n_tokens long" + ", bytes binary" * back)
+
+
+def whole_bytes(v: Vocabulary, ids: np.ndarray, offsets: np.ndarray, count: np.ndarray, none: np.ndarray | None = None) -> pa.Array:
+    """The bytes of each row, of which count has the number of ids; none: rows that have null."""
+    ends = np.concatenate(([0], np.cumsum(count)))
+    size = np.concatenate(([0], np.cumsum(v.lengths[ids])))[ends]  # where each row's bytes start
+    first = np.zeros(len(count), np.int64)
+    first[count > 0] = offsets[ends[:-1][count > 0]]
+    data = v.decoded(ids, offsets + np.repeat(size[:-1] - first, count))
+    mask = pa.array(~none).buffers()[1] if none is not None and none.any() else None
+    return pa.Array.from_buffers(pa.large_binary(), len(count), [mask, pa.py_buffer(size.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
 
 
 def decode(rows: DataFrame, ranks: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -306,15 +319,8 @@ def decode(rows: DataFrame, ranks: str, keep: Sequence[str] = ()) -> DataFrame:
             ids, offsets, none = batch.column(0), batch.column(1), batch.column(0).is_null().to_numpy(zero_copy_only=False)
             count = np.diff(ids.offsets.to_numpy())
             count[none] = 0
-            flat, at = ids.flatten().to_numpy(), offsets.flatten().to_numpy().astype(np.int64)
-            ends = np.concatenate(([0], np.cumsum(count)))
-            size = np.concatenate(([0], np.cumsum(v.lengths[flat])))[ends]  # where each row's bytes start
-            first = np.zeros(len(count), np.int64)
-            first[count > 0] = at[ends[:-1][count > 0]]
-            data = v.decoded(flat, at + np.repeat(size[:-1] - first, count))
-            mask = pa.array(~none).buffers()[1] if none.any() else None
-            out = pa.Array.from_buffers(pa.large_binary(), len(count), [mask, pa.py_buffer(size.astype(np.int64)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([out.cast(pa.binary()), *batch.columns[2:]], names=["bytes", *keep])
+            out = whole_bytes(v, ids.flatten().to_numpy(), offsets.flatten().to_numpy().astype(np.int64), count, none)
+            yield pa.RecordBatch.from_arrays([out, *batch.columns[2:]], names=["bytes", *keep])
 
     kinds = dict(rows.dtypes)
     return rows.select("ids", "offsets", *keep).mapInArrow(run, ", ".join(["bytes binary", *(f"{c} {kinds[c]}" for c in keep)]))

@@ -82,9 +82,9 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
-    ids = bytepairs.encode(table(spark, sf_dir, "documents"), ranks)
-    ids = ids.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256))
-    return bytepairs.decode(ids, ranks, ["doc_id", "n_tokens", "ids_sha256"]).select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+    ids = bytepairs.encode(table(spark, sf_dir, "documents"), ranks, back=True)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return ids.select("doc_id", "n_tokens", F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
