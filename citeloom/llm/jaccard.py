@@ -426,7 +426,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] =
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
-    """docs without those that have a smaller doc_id in their component; all columns are kept. Rows with a null doc_id stay."""
+    """docs without those that have a smaller doc_id in their component; all columns are kept, whatever their names.
+
+    Of rows that are equal in every column, one stays; rows of one doc_id that differ are one document and stay
+    or go together. Rows with a null doc_id stay. An empty table gives an empty result.
+    """
     classes = jaccard_components(docs, k, threshold).where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
     gone = small_side(cut(classes))
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    stay = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    again = cut(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id")))
+    if again.isEmpty():
+        return stay
+    again = small_side(again)
+    twice = stay["doc_id"] == again["again_id"]
+    return stay.join(again, twice, "left_anti").unionByName(stay.join(again, twice, "left_semi").dropDuplicates())

@@ -14,7 +14,7 @@ import heapq
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.common import cut
@@ -71,13 +71,19 @@ def epochs(blocks: dict[int, int], tail: dict[int, int], weights: dict[int, int]
     return out
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; one of maps, which have no hash, as its JSON."""
+    return F.xxhash64(*(F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes))
+
+
 def placed(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows: int = 16, buckets: int = 256, keep: list[str] = ()) -> DataFrame:
     """(keep..., doc_id, source, block, slot, position) for each row of docs.
 
     weights: slots of each named source, and rest those of each other one; null is a source too. While no source
     is used up, each is less than a block away from its share after any number of slots; from then on the same
     holds of the sources left. position is gapless from 0 and is the order of the mix. Within a lane, rows are in the order of a hash of doc_id, so
-    that neighbours are mixed; they are ranked in hash buckets, so no task holds a lane. The driver gets the
+    that neighbours are mixed, and rows of one doc_id in that of a hash of all columns, so that a task that is run again gives equal
+    places; they are ranked in hash buckets, so no task holds a lane. The driver gets the
     row counts of lanes by bucket, at most MOST_LANES * buckets rows; more sources than that are an error. Repeated rows and null ids
     have places of their own; an empty table gives an empty result.
     """
@@ -87,7 +93,7 @@ def placed(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows:
     if len(lane_weights) > MOST_LANES or sum(lane_weights.values()) > MOST_SLOTS or min([rest, *weights.values()]) < 1:
         raise ValueError(f"{MOST_LANES} sources at most, weights of at least 1, {MOST_SLOTS} slots in all")
     lane = F.when(F.col("source").isNull(), len(names)).otherwise(F.array_position(F.lit(names).cast("array<string>"), F.col("source")) - 1).cast("int")
-    rows = docs.select(*(F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)), "doc_id", "source", lane.alias("lane"), F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(buckets)).cast("int").alias("bucket"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)), "doc_id", "source", lane.alias("lane"), row_hash(docs).alias("tie"), F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(buckets)).cast("int").alias("bucket"))
     counts = rows.groupBy("lane", "bucket").agg(F.count("*").alias("n")).collect()
     totals: dict[int, int] = {}
     starts = []
@@ -100,7 +106,7 @@ def placed(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows:
     by_lane = {k: [tuple(p[x] for x in ("first", "slot", "row", "total", "at")) for p in plan if p["lane"] == k] for k in totals}
     lanes = spark.createDataFrame(list(by_lane.items()), "lane int, epochs array<struct<first:long,slot:long,row:long,total:long,at:array<int>>>")
     starts = spark.createDataFrame(starts, "lane int, bucket int, start long")
-    within = Window.partitionBy("lane", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id")
+    within = Window.partitionBy("lane", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id", "tie")
     ranked = rows.withColumn("rank", F.row_number().over(within)).join(F.broadcast(starts), ["lane", "bucket"]).withColumn("rank", F.col("start") + F.col("rank") - 1)
     block = F.call_function("div", F.col("rank"), F.lit(block_rows))
     found = ranked.join(F.broadcast(lanes), "lane").withColumn("block", block).withColumn("e", F.element_at(F.filter("epochs", lambda e: e["first"] <= F.col("block")), -1))
@@ -118,7 +124,8 @@ def mixed(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows: i
 
     Texts are shuffled twice: to rank rows in their buckets, and by ranges of their position.
     """
-    whole = placed(docs.withColumn("mix_row", F.struct(*(F.col(f"`{c}`") for c in docs.columns))), weights, rest, block_rows, keep=["mix_row"])
+    packed = docs.select("doc_id", "source", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("mix_row"))
+    whole = placed(packed, weights, rest, block_rows, keep=["mix_row"])
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = whole.repartitionByRange(n, "position").sortWithinPartitions("position")
     return ordered.select(*(F.col(f"mix_row.`{c}`").alias(c) for c in docs.columns))
@@ -128,13 +135,14 @@ def in_order(docs: DataFrame) -> DataFrame:
     """docs, the rows of Parquet files, with position: each row's place from 0 in the files, taken in the order of their numbers.
 
     So the order that mixed() was written in is had again; a scan alone deals files by size, not by number. docs
-    that are no scan are written first. The driver gets a row for each file.
+    that are no scan are written first. A column of docs named position gives way; other names are free, as
+    rows travel in one column. The driver gets a row for each file.
     """
-    place = (F.col("_metadata.file_path").alias("mix_file"), F.col("_metadata.row_index").alias("mix_index"))
+    place = (F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index"))
     try:
-        rows = docs.select("*", *place)
+        rows = docs.select(*place)
     except AnalysisException:
-        rows = cut(docs).select("*", *place)
+        rows = cut(docs).select(*place)
 
     def number(path: str) -> tuple[int, str]:
         name = path.rsplit("/", 1)[-1]
@@ -142,8 +150,9 @@ def in_order(docs: DataFrame) -> DataFrame:
         return (int(m[1]) if m else -1, name)
 
     starts, n = [], 0
-    for r in sorted(rows.groupBy("mix_file").agg(F.count("*").alias("n")).collect(), key=lambda r: number(r.mix_file)):
-        starts.append((r.mix_file, n))
+    for r in sorted(rows.groupBy("file").agg(F.count("*").alias("n")).collect(), key=lambda r: number(r.file)):
+        starts.append((r.file, n))
         n += r.n
-    starts = docs.sparkSession.createDataFrame(starts, "mix_file string, mix_start long")
-    return rows.join(F.broadcast(starts), "mix_file").select(*(F.col(f"`{c}`") for c in docs.columns), (F.col("mix_start") + F.col("mix_index")).alias("position"))
+    starts = docs.sparkSession.createDataFrame(starts, "file string, start long")
+    kept = [c for c in docs.columns if c.lower() != "position"]
+    return rows.join(F.broadcast(starts), "file").select(*(F.col(f"row.`{c}`").alias(c) for c in kept), (F.col("start") + F.col("index")).alias("position"))
