@@ -131,11 +131,27 @@ RELATIONS = {
     "questioned": [r"question(?:ed|ing)\s", r"doubt(?:ed|ing)\s"],
     "compared": [r"compar(?:ed|ing)\s", r"(?:cf\.|contrast)\s"],
 }
-# How statutes cite each other, in order.
+# How statutes cite each other, in order, and a reference of no such kind; the target is the group.
 TYPED = {
-    "defines": r"(?:as defined in|meaning of|meaning in|definition in) (?:section|§)\s*", "cross_reference": r"(?:pursuant to|in accordance with|as provided in|under) (?:section|§)\s*",
-    "amended_by": r"as amended by (?:section|§)\s*", "superseded_by": r"(?:superseded by|replaced by) (?:section|§)\s*",
-}
+    "defines": [
+        r"as defined in (?:section|§)\s*(\d+\.\d+)",
+        r"meaning (?:of|in) (?:section|§)\s*(\d+\.\d+)",
+        r"definition in (?:section|§)\s*(\d+\.\d+)",
+    ],
+    "cross_reference": [
+        r"pursuant to (?:section|§)\s*(\d+\.\d+)",
+        r"in accordance with (?:section|§)\s*(\d+\.\d+)",
+        r"as provided in (?:section|§)\s*(\d+\.\d+)",
+        r"under (?:section|§)\s*(\d+\.\d+)",
+    ],
+    "amended_by": [r"as amended by (?:section|§)\s*(\d+\.\d+)"],
+    "superseded_by": [
+        r"superseded by (?:section|§)\s*(\d+\.\d+)",
+        r"replaced by (?:section|§)\s*(\d+\.\d+)",
+    ],
+}
+GENERIC = r"(?:section|§)\s*(\d+\.\d+)"
+# Words that do not count, and phrases that do.
 STOP_WORDS = ["the", "and", "for", "with", "from", "this", "that"]
 PHRASES = ["summary judgment", "due process", "probable cause", "reasonable doubt", "good faith", "bad faith", "strict liability", "proximate cause"]
 # Articles of the constitution, and words of an article's name that give its category, where the first fit counts.

@@ -17,24 +17,11 @@ def references(d):  # noqa: ANN001, ANN201
     return d.distinct_sorted(d.kept(f"list_concat({d.found('text', REFERENCE, 1)}, {d.found('text', RANGE_END, 1)}, {d.found('text', RUN)})", "x", d.has("x", VALID)))
 
 
-def typed(d):  # noqa: ANN001, ANN201
-    parts = [f"SELECT section, '{kind}' AS relationship, {d.each(d.found('text', '(?i)' + p + r'(\d+\.\d+)', 1))} AS target FROM doc" for kind, p in fixed.TYPED.items()]
-    return " UNION ALL ".join(parts)
-
-
-def offsets(d):  # noqa: ANN001, ANN201
-    """Place and context (30 characters to each side) of the first named reference."""
-    at = f"length({d.at('split(text, ' + d.rx(REFERENCE) + ')', 0)})" if d.name == "spark" else f"length(string_split_regex(text, '{REFERENCE}')[1])"
-    return f"SELECT section, CAST({at} AS INT) AS position, substring(text, CAST(greatest(1, {at} - 29) AS INT), 60) AS context FROM doc WHERE {d.has('text', REFERENCE)}"
-
-
 PLANS = {
     "o20_statute_references": (["doc"], lambda d: f"SELECT section, {d.joined(references(d))} AS refs, {d.size(references(d))} AS n FROM doc"),
     "o23_multi_corpus": (["rule"], lambda d: f"SELECT rule_id, 'oac' AS corpus, {d.each(d.found('text', r'\d{3,4}-\d{1,2}-\d{1,2}'))} AS ref FROM rule UNION ALL SELECT rule_id, 'orc', {d.each(d.found('text', REFERENCE, 1))} FROM rule"),
     "o24_reference_class": (["rule"], lambda d: "SELECT rule_id, " + rules.cases([(d.has("ref", r"^\d{3,4}\.\d+$"), "'orc'"), (d.has("ref", r"^\d+-\d+-\d+$"), "'oac'"), (d.has("ref", r"^[IVX]+-\d+$"), "'constitution'"), (d.has("ref", r"^case_"), "'case'")], "'unknown'") + " AS kind FROM (SELECT rule_id, CASE s_suppkey % 5 WHEN 0 THEN '2903.01' WHEN 1 THEN rule_id WHEN 2 THEN 'IV-2' WHEN 3 THEN 'case_5' ELSE 'x' END AS ref FROM rule) x"),
     "o25_reference_validation": (["rule"], lambda d: f"SELECT rule_id, {d.has('rule_id', r'^(?:\d{3,4}-\d{1,2}-\d{1,2})')} AS valid FROM rule"),
-    "o26_citation_offsets": (["doc"], offsets),
-    "o28_case_citations": (["courtcase"], lambda d: " UNION ALL ".join(f"SELECT case_id, '{k}' AS kind, {d.each(d.found('opinion', '(?i)' + p))} AS cite FROM courtcase" for k, p in fixed.CASE_CITES.items())),
     "o29_relationship": (["courtcase"], lambda d: f"SELECT case_id, {rules.first_pattern(d, 'opinion', fixed.RELATIONS, 'cited')} AS relationship FROM courtcase"),
     "o30_citation_class": (["courtcase"], lambda d: f"SELECT case_id, {rules.cite_class(d, 'opinion')} AS class FROM courtcase"),
     "o31_structured_citations": (["case_edge"], lambda d: "SELECT src, dst, 'cited' AS relationship FROM case_edge"),

@@ -169,13 +169,6 @@ def q09(d) -> str:  # noqa: ANN001
     return f"SELECT n.section, coalesce(f.n, 0) AS n_cites, coalesce(f.ids, '') AS cites, coalesce(r.n, 0) AS n_cited_by, coalesce(r.ids, '') AS cited_by, coalesce(m.n, 0) AS n_mutual, coalesce(m.ids, '') AS mutual FROM node n LEFT JOIN {listed('src', 'dst')} f ON f.section = n.section LEFT JOIN {listed('dst', 'src')} r ON r.section = n.section LEFT JOIN {mutual} m ON m.section = n.section"
 
 
-def o26(d) -> str:  # noqa: ANN001
-    """Typed citations once for each section, type and target, and generic ones for targets that no type has."""
-    typed = " UNION ".join(f"SELECT section, '{kind}' AS relationship, {d.each(d.found('text', '(?i)' + p + r'(\d+\.\d+)', 1))} AS target FROM doc" for kind, p in fixed.TYPED.items())
-    generic = f"SELECT DISTINCT section, {d.each(d.found('text', r'(?i)sections?\s+(\d+\.\d+)', 1))} AS target FROM doc"
-    return f"SELECT section, relationship, target FROM ({typed}) t UNION ALL SELECT g.section, 'cross_reference', g.target FROM ({generic}) g WHERE NOT EXISTS (SELECT 1 FROM ({typed}) t WHERE t.section = g.section AND t.target = g.target)"
-
-
 def o17(d) -> str:  # noqa: ANN001
     fail = rules.cases([("header IS NULL OR text IS NULL", "'missing field'"), ("length(text) < 50", "'short content'"), ("NOT contains(header, '|')", "'no title'"), (f"NOT {d.has('header', r'Section\s+\d+\.\d+')}", "'no id'")], "NULL")
     rows = "(SELECT section, CASE WHEN line_no % 11 = 0 THEN NULL WHEN line_no % 7 = 0 THEN replace(header, '|', ' ') WHEN line_no % 5 = 0 THEN 'Chapter|' || title ELSE header END AS header, CASE WHEN line_no % 13 = 0 THEN substring(text, 1, 40) ELSE text END AS text FROM doc) x"
@@ -201,7 +194,7 @@ def o13(d) -> str:  # noqa: ANN001
 
 
 PLANS = {
-    "o06_projection": (["doc"], o06), "o12_case_metadata": (["courtcase"], o12), "o13_case_record": (["customer"], o13), "o17_valid_records": (["doc"], o17), "o26_typed_citations": (["doc"], o26), "g10_counts": (["courtcase"], g10), "g11_extraction_totals": (["courtcase", "case_edge"], g11), "g13_routing_summary": (["courtcase"], g13),
+    "o06_projection": (["doc"], o06), "o12_case_metadata": (["courtcase"], o12), "o13_case_record": (["customer"], o13), "o17_valid_records": (["doc"], o17), "g10_counts": (["courtcase"], g10), "g11_extraction_totals": (["courtcase", "case_edge"], g11), "g13_routing_summary": (["courtcase"], g13),
     "g14_filter_statistics": (["courtcase"], g14), "g18_integrity": (["doc", "edge"], g18), "g20_title_context": (["edge", "node"], g20), "g24_word_overlap": (["conversations"], g24), "w02_top_cases": (["courtcase", "case_edge"], w02), "w03_top_years": (["courtcase"], w03), "q05_prompt": (["doc", "edge"], q05),
     "q07_search_and_query": (["doc"], q07), "q08_compare": (["edge", "doc", "out_degree"], q08), "q09_relationships": (["node", "edge"], q09), "q12_cross_forward": (["rule", "doc", "provision", "courtcase"], q12), "q15_search_rank": (["courtcase"], q15),
     "q17_comparable": (["courtcase"], lambda d: top("a", "a, b, score", f"(SELECT * FROM {comparable(d)} WHERE same_kind AND year >= 1995 AND abs(severity - other) <= 1) f", "score DESC, b", 50)), "q18_similarity": (["courtcase"], lambda d: top("a", "a, b, round(score, 6) AS score, CAST(rn AS INT) AS rn", comparable(d), "score DESC, b", 50)),
