@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citeloom.operators import aggregates, answers, citations, classification, context, extraction, files, graph, networks, provisions, reports, reshaping, retrieval, statutes, training
 from citeloom.plans.corpora import prelude
 from citeloom.plans.dialects import Duck, Spark
-from citeloom.streaming import incremental
+from citeloom.streaming import batches, incremental
 
 
 def planned(needs: list[str], body: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFrame]:
@@ -19,7 +19,7 @@ def planned(needs: list[str], body: Callable[[Spark], str]) -> Callable[[SparkSe
 #: Operators as plans in either dialect.
 PLANS = {**reshaping.PLANS, **extraction.PLANS, **classification.PLANS, **aggregates.PLANS, **graph.PLANS, **networks.PLANS, **retrieval.PLANS, **training.PLANS, **answers.PLANS, **reports.PLANS}
 #: Operators as programs over DataFrames.
-PROGRAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {**graph.PROGRAMS, **context.PROGRAMS, **training.PROGRAMS, **incremental.PROGRAMS, **files.PROGRAMS, **citations.PROGRAMS, **networks.PROGRAMS}
+PROGRAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {**graph.PROGRAMS, **context.PROGRAMS, **training.PROGRAMS, **incremental.PROGRAMS, **files.PROGRAMS, **citations.PROGRAMS, **networks.PROGRAMS, **batches.PROGRAMS}
 #: SQL for programs, in the oracle's dialect: (relations, body).
 PROGRAM_SQL = {**graph.PROGRAM_SQL, **training.PROGRAM_SQL, **incremental.PROGRAM_SQL}
 

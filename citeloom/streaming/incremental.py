@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.sources.tables import cut
 
-#: Late events up to this are counted; later ones are dropped.
+#: The watermark of the counts; in complete mode all events are counted, late ones too.
 LATE = "1 hour"
 
 
@@ -43,7 +43,7 @@ def st02(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro-batches by hour: how many of each type, with late events up to LATE."""
+    """Micro-batches by hour: how many of each type."""
     events = stream_of(spark, f"{sf_dir}/events.parquet").withColumn("at", F.col("ts").cast("timestamp"))
     counts = events.withWatermark("at", LATE).groupBy(F.window("at", "1 hour"), "event_type").agg(F.count("*").alias("n"))
     return counts_complete(counts.select(F.date_format("window.start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n"), folder(spark))
