@@ -154,7 +154,7 @@ def t12(d) -> str:  # noqa: ANN001
 def t16(d) -> str:  # noqa: ANN001
     some = [f"CASE WHEN {rules.any_word('lower(text)', words)} THEN {rules.lit(q)} END" for words, q in FAMILIES]
     listed = d.part(d.kept(d.array(*some), "q", "q IS NOT NULL"), 5)
-    return f"SELECT section, CASE WHEN length(text) > 200 THEN {d.joined(d.mapped(listed, 'q', "replace(q, '@', section)"), '; ')} ELSE '' END AS questions FROM doc"
+    return f"SELECT section, CASE WHEN length(text) > 500 THEN {d.joined(d.mapped(listed, 'q', "replace(q, '@', section)"), '; ')} ELSE '' END AS questions FROM doc"
 
 
 def q05(d) -> str:  # noqa: ANN001
