@@ -29,12 +29,17 @@ def s01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_jsonl(spark, path).select("url", "header", F.size("paragraphs").alias("n"))
 
 
+#: Lines whose records of one code, a twentieth of them, share a file; and cases in a map.
+LINES_A_FILE, CASES_A_MAP = 10_000, 1_000
+
+
 def arrays(spark: SparkSession, sf_dir: str, path: str, broken: int | None = None) -> None:
-    """A JSON array of sections in each directory code=..., the broken one cut off."""
-    whole = records(spark, sf_dir).groupBy("code").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "json"))), lambda x: x["json"]), ",\n"), F.lit("]")).alias("value"))
+    """JSON arrays of sections, one in each directory code=.../bucket=..., those of the broken code cut off. A file has LINES_A_FILE / 20 records, however many there are in all."""
+    bucket = F.call_function("div", F.col("line_no"), F.lit(LINES_A_FILE)).alias("bucket")
+    whole = records(spark, sf_dir).groupBy("code", bucket).agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "json"))), lambda x: x["json"]), ",\n"), F.lit("]")).alias("value"))
     if broken is not None:
         whole = whole.withColumn("value", F.when(F.col("code") == broken, F.substring("value", 1, 40)).otherwise(F.col("value")))
-    whole.select("code", "value").write.partitionBy("code").text(path)
+    whole.select("code", "bucket", "value").write.partitionBy("code", "bucket").text(path)
 
 
 def s02(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,14 +57,14 @@ def s03(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s05(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = place(spark)
     arrays(spark, sf_dir, path, broken=3)
-    merged = tables.merge_json_files(spark, f"{path}/code=*", RECORD)
+    merged = tables.merge_json_files(spark, f"{path}/code=*/bucket=*", RECORD)
     return merged.select(F.regexp_extract("file", "code=([0-9]+)", 1).cast("long").alias("code"), "pos", "record.url", "record.header")
 
 
 def s06(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = place(spark)
-    head = spark.range(1).select(F.lit('{"processed_files": 12, "url": "head"}').alias("json"))
-    head.unionByName(records(spark, sf_dir).select("json")).coalesce(1).write.text(path)
+    spark.range(1).select(F.lit('{"processed_files": 12, "url": "head"}').alias("json")).write.text(path)
+    records(spark, sf_dir).select("json").write.mode("append").text(path)
     return tables.read_jsonl_with_header(spark, path, "url STRING, header STRING")
 
 
@@ -118,9 +123,10 @@ def o08(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def o14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A map of web cites to records as rows."""
+    """Maps of web cites to records as rows; a map has CASES_A_MAP cases at most."""
     path = place(spark)
-    cases = relation(spark, sf_dir, "courtcase").groupBy("reporter").agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("cite-"), F.col("case_id").cast("string")), F.struct("name", "word_count")))).alias("cases"))
+    batch = F.call_function("div", F.col("case_id"), F.lit(CASES_A_MAP)).alias("batch")
+    cases = relation(spark, sf_dir, "courtcase").groupBy("reporter", batch).agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("cite-"), F.col("case_id").cast("string")), F.struct("name", "word_count")))).alias("cases"))
     cases.select(F.to_json("cases").alias("value")).write.text(path)
     return tables.map_rows(spark, path, "MAP<STRING, STRUCT<name STRING, word_count INT>>").select(F.col("key").alias("webcite"), "value.name", "value.word_count")
 
@@ -141,7 +147,7 @@ SQL = {
     "s01_jsonl_scan": (["doc"], f"SELECT url, header, {LINES} AS n FROM doc WHERE line_no % 10 <> 0"),
     "s02_json_array": (["doc"], f"SELECT (line_no % 20)::INTEGER AS code, url, header, {LINES} AS n FROM doc"),
     "s03_json_tree": ([], "SELECT n_nationkey::BIGINT AS n_nationkey, n_name, 'nation=' || n_nationkey AS directory, 'region=' || n_regionkey AS parent, true AS is_json FROM nation"),
-    "s05_merged_files": (["doc"], "SELECT line_no % 20 AS code, (row_number() OVER (PARTITION BY line_no % 20 ORDER BY line_no) - 1)::INTEGER AS pos, url, header FROM doc WHERE line_no % 20 <> 3"),
+    "s05_merged_files": (["doc"], "SELECT line_no % 20 AS code, (row_number() OVER (PARTITION BY line_no % 20, line_no // 10000 ORDER BY line_no) - 1)::INTEGER AS pos, url, header FROM doc WHERE line_no % 20 <> 3"),
     "s06_header_skip": (["doc"], "SELECT url, header FROM doc"),
     "s07_batches": (["doc"], "SELECT section, line_no, (row_number() OVER (ORDER BY line_no) - 1) // 50 AS batch FROM doc WHERE NOT starts_with(title, 'Penalty')"),
     "s08_whole_texts": ([], "SELECT n_nationkey::BIGINT AS nation, n_name || chr(10) || 'second line' AS text FROM nation"),

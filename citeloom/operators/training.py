@@ -67,6 +67,7 @@ PLANS = {
     "t04_strict_validation": (["conversations"], lambda d: f"SELECT conv_id, turn, length(text) >= 25 AND {d.has('text', '[.!?]$')} AS valid FROM conversations WHERE role = 'assistant'"),
     "t09_composite": (["ranked_edge"], lambda d: f"SELECT src, {d.list_join('CAST(nth AS STRING) || chr(46) || dst', ' ', 'nth')} AS response FROM ranked_edge WHERE nth <= 2 GROUP BY src"),
     "t13_training_union": (["doc", "conversations"], lambda d: "SELECT section AS id, title AS question, CAST(NULL AS STRING) AS role FROM doc UNION ALL SELECT CAST(conv_id AS STRING), text, role FROM conversations"),
-    "t15_strategy_table": (["part"], lambda d: "SELECT * FROM (VALUES ('felony', 'suppression'), ('misdemeanor', 'plea'), ('civil', 'settlement')) AS v(kind, strategy)"),
+    "t15_strategy_table": (["doc"], lambda d: """SELECT x.section, v.kind, v.strategy FROM (SELECT section, CASE WHEN contains(lower(text), 'felony') THEN 'felony' WHEN contains(lower(text), 'misdemeanor') THEN 'misdemeanor' ELSE 'civil' END AS kind FROM doc) x
+    JOIN (VALUES ('felony', 'suppression'), ('misdemeanor', 'plea'), ('civil', 'settlement')) AS v(kind, strategy) ON v.kind = x.kind"""),
     "w07_question_priority": (["doc"], lambda d: f"SELECT section, kind, CASE WHEN n > 2 THEN 0 WHEN n > 0 THEN 1 ELSE 2 END AS priority FROM (SELECT section, kind, sum(CASE WHEN contains(lower(text), word) THEN 1 ELSE 0 END) AS n FROM doc JOIN (SELECT * FROM (VALUES {trigger_rows()}) AS v(kind, word)) t ON true GROUP BY section, kind) x"),
 }
