@@ -101,6 +101,41 @@ COURTS = [
     (["district", "southern"], "federal-district", 70), (["court of appeals", "ohio"], "appeals", 80), (["court of claims"], "claims", 70), (["circuit court"], "circuit", 75), (["superior court"], "superior", 65),
     (["common pleas"], "common-pleas", 60), (["probate"], "probate", 50), (["juvenile"], "juvenile", 50), (["municipal court"], "municipal", 40), (["police court"], "municipal", 40), (["county court"], "county", 30), (["mayor"], "mayor", 20),
 ]
+# Words of ordinals that name an appellate district, from 1.
+ORDINALS = ["first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth", "eleventh", "twelfth"]
+# Directories of courts, where the first fit counts: words of the name without case, words as they are written, words that may not be there,
+# the directory, what takes the place of * in it, the directory without that, and what counts as without.
+ROUTES = [
+    (["supreme court of ohio"], [], [], "supreme-court", None, None, []),
+    (["court of appeals", "ohio"], [], [], "appeals-courts/district-*", "district", "appeals-courts/general", []),
+    (["court of claims", "ohio"], [], [], "state-courts/court-of-claims", None, None, []),
+    (["circuit court"], [], [], "historical-courts/circuit/*", "county", "historical-courts/circuit/general", ["ohio"]),
+    ([], ["circuit", "Court"], [], "historical-courts/circuit/*", "county", "historical-courts/circuit/general", ["ohio"]),
+    (["common pleas"], [], [], "county-courts/*/common-pleas", "county", "county-courts/unknown/common-pleas", []),
+    (["probate"], [], [], "county-courts/*/probate", "county", "county-courts/unknown/probate", []),
+    (["juvenile"], [], [], "county-courts/*/juvenile", "county", "county-courts/unknown/juvenile", []),
+    (["municipal court"], [], [], "municipal-courts/*", "city", "municipal-courts/unknown", []),
+    (["police court"], [], [], "municipal-courts/*", "city", "municipal-courts/unknown", []),
+    (["superior court"], [], [], "historical-courts/superior/*", "city", "historical-courts/superior/general", []),
+    (["united states", "sixth circuit"], [], [], "federal-courts/sixth-circuit", None, None, []),
+    (["federal", "sixth circuit"], [], [], "federal-courts/sixth-circuit", None, None, []),
+    (["united states", "northern district of ohio"], [], [], "federal-courts/district-northern", None, None, []),
+    (["federal", "northern district of ohio"], [], [], "federal-courts/district-northern", None, None, []),
+    (["united states", "southern district of ohio"], [], [], "federal-courts/district-southern", None, None, []),
+    (["federal", "southern district of ohio"], [], [], "federal-courts/district-southern", None, None, []),
+    (["united states"], [], [], "federal-courts/other", None, None, []),
+    (["federal"], [], [], "federal-courts/other", None, None, []),
+    (["tax appeals"], [], [], "state-agencies/board-of-tax-appeals", None, None, []),
+    (["public utilities commission"], [], [], "state-agencies/public-utilities", None, None, []),
+    (["civil rights commission"], [], [], "state-agencies/civil-rights", None, None, []),
+    (["racing commission"], [], [], "state-agencies/racing", None, None, []),
+    (["supreme court"], [], ["ohio"], "out-of-state/supreme-courts", None, None, []),
+]
+OTHER_ROUTE = "other-courts/miscellaneous"
+# Words at which the name of a county or of a city ends, for a directory, and for the county of a court.
+COUNTY_ENDS = ["county", "circuit", "court"]
+CITY_ENDS = ["municipal", "city", "police"]
+COURT_ENDS = ["county", "circuit", "court", "common", "pleas", "probate", "juvenile", "municipal"]
 # Subject classes of cases and their patterns.
 CASE_CLASSES = {
     "criminal": [r"\bstate\s+v\.", r"\bcriminal\b", r"\bconviction\b", r"\bsentenc(e|ing)\b"],

@@ -9,6 +9,16 @@ SECTION = "printf('%d.%02d', 101 + ({k} * 37) % 5800, {k} % 90 + 1) || CASE WHEN
 #: Article numerals, by number from 1.
 NUMERALS = "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX".split()
 
+#: Names of courts, as SQL over a place: every rule of routing has one. The form behind the last is a court without a name.
+VENUES = [
+    "'Supreme Court of Ohio'", "'Court of Appeals of Ohio, Eighth Appellate District'", "'Court of Appeals of Ohio'", "'Court of Claims of Ohio'", "place || ' County Circuit Court'", "'Ohio Circuit Court'", "'Third circuit Court'",
+    "place || ' County Court of Common Pleas'", "'Court of Common Pleas'", "place || ' County Probate Court'", "'Court of Probate'", "place || ' County Juvenile Court'", "'Court for Juvenile Matters'", "place || ' Municipal Court'", "'Municipal Court'",
+    "place || ' Police Court'", "'Superior Court of ' || place", "'City Superior Court'", "'United States Court of Appeals for the Sixth Circuit'", "'United States District Court for the Northern District of Ohio'",
+    "'United States District Court for the Southern District of Ohio'", "'Supreme Court of the United States'", "'Ohio Board of Tax Appeals'", "'Public Utilities Commission of Ohio'", "'Ohio Civil Rights Commission'", "'Ohio State Racing Commission'",
+    "'Supreme Court of Indiana'", "'Tribunal of ' || place", "place || ' County Court'",
+]
+PLACES = ["Cuyahoga", "Van Wert", "Union", "Springfield", "Hamilton"]
+
 
 def relations(d: Spark) -> dict[str, tuple[list[str], str]]:
     """Name: (what it needs, SQL)."""
@@ -66,6 +76,28 @@ def relations(d: Spark) -> dict[str, tuple[list[str], str]]:
             || CASE p_partkey % 5 WHEN 0 THEN ' See Article IV, Section ' || CAST(p_size AS STRING) || ' and Article II Section 1.' WHEN 1 THEN ' Compare Art. VIII § ' || CAST(p_size AS STRING) || '.' WHEN 2 THEN ' As section ' || CAST(p_size AS STRING) || ' of article XII has it.' WHEN 3 THEN ' X.' || CAST(p_size AS STRING) || ' holds.' ELSE '' END AS text
             FROM (SELECT p_partkey, p_name, p_size, p_partkey % 22 + 1 AS number, CASE p_partkey % 20 {' '.join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(NUMERALS))} ELSE 'Q' END AS numeral FROM part) x""",
         ),
+        "venue": (
+            ["customer"],
+            f"""SELECT c_custkey AS court_id, CASE form {' '.join(f"WHEN {i} THEN {v}" for i, v in enumerate(VENUES))} ELSE NULL END AS court FROM (SELECT c_custkey, c_custkey % {len(VENUES) + 1} AS form,
+            CASE floor(c_custkey / {len(VENUES) + 1}e0) % {len(PLACES)} {' '.join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(PLACES))} END AS place FROM customer) x""",
+        ),
+        "opinion_row": (
+            ["orders"],
+            f"""SELECT case_id, nth, CASE (case_id + nth) % 4 WHEN 0 THEN 'majority' WHEN 1 THEN 'dissent' WHEN 2 THEN 'concurrence' END AS type, CASE (case_id + nth) % 3 WHEN 0 THEN 'Judge ' || CAST(o_custkey % 50 AS STRING) WHEN 1 THEN '' END AS author,
+            CASE (case_id + 2 * nth) % 9 WHEN 0 THEN ' ' || chr(10) || ' ' WHEN 1 THEN NULL ELSE chr(10) || ' Opinion ' || CAST(nth AS STRING) || ' of "case" ' || CAST(case_id AS STRING) || '. ' END AS text
+            FROM (SELECT o_orderkey AS case_id, o_custkey, {d.each(d.array('1', '2', '3'))} AS nth FROM orders) x WHERE nth <= case_id % 4 AND case_id % 11 <> 3""",
+        ),
+        "parallel_cite": (
+            ["orders"],
+            f"""SELECT case_id, nth, CASE (case_id + nth) % 3 WHEN 0 THEN 'official' WHEN 1 THEN 'parallel' END AS type, CAST(case_id % 90 + nth AS STRING) || ' Ohio St. 3d ' || CAST(case_id AS STRING) AS cite
+            FROM (SELECT o_orderkey AS case_id, {d.each(d.array('1', '2', '3'))} AS nth FROM orders) x WHERE nth <= case_id % 4 AND case_id % 7 <> 5""",
+        ),
+        "case_ref": (
+            ["lineitem"],
+            f"""SELECT case_id, l_linenumber, l_partkey, l_suppkey, nth, CAST(l_suppkey % 100 AS STRING) || ' Ohio App. ' || CAST(l_partkey + nth AS STRING) AS cite, CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_partkey + nth END AS first_id,
+            CASE WHEN l_partkey % 5 <> 0 AND l_suppkey % 2 = 0 THEN l_suppkey END AS second_id, CASE WHEN l_suppkey % 4 <> 0 THEN 'reporters:state' END AS category
+            FROM (SELECT l_orderkey AS case_id, l_linenumber, l_partkey, l_suppkey, {d.each(d.array(*map(str, range(1, 8))))} AS nth FROM lineitem) x WHERE nth <= l_linenumber""",
+        ),
         "ranked_edge": (["edge"], "SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS nth FROM edge"),
         "in_degree": (["edge"], "SELECT dst AS section, count(*) AS cited_by_count FROM edge GROUP BY dst"),
         "out_degree": (["edge"], "SELECT src AS section, count(*) AS reference_count FROM edge GROUP BY src"),
