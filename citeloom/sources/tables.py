@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Spark's setting that deletes the shuffle files of an execution at its end.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 DOCUMENT = "url STRING, url_hash STRING, header STRING, paragraphs ARRAY<STRING>"
 
 
@@ -27,10 +29,16 @@ def folder(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """df as a table written in the session's checkpoint folder: without lineage, and safe when executors are lost.
 
-    (A table, as a plan over checkpoint() inherits its constraints, which grow exponentially in loops.)
+    (A table, as a plan over checkpoint() inherits its constraints, which grow exponentially in loops.) What the
+    write shuffled is deleted as soon as the table is there, as nothing reads it again.
     """
-    path = f"{folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf, path = df.sparkSession.conf, f"{folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    before = conf.get(CLEANED)
+    conf.set(CLEANED, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(CLEANED, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
