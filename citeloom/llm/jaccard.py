@@ -383,10 +383,11 @@ def shared_lists(lists: DataFrame) -> DataFrame:
     """(a, b) for each list that two sets have and neither skips: a is the smallest id in it, b another.
 
     lists has (key, a, b, n, ids, tags). Lengths are counted apart, with partial sums, and joined to the entries:
-    no task gathers a list. A set skips its longest ones.
+    no task gathers a list. They are written, so that the shuffle of all keys is gone before the entries are
+    shuffled. A set skips its longest ones.
     """
     none = F.array().cast("array<long>")
-    long = lists.groupBy("key").agg(F.sum("n").alias("long")).where("long > 1")
+    long = cut(lists.groupBy("key").agg(F.sum("n").alias("long")).where("long > 1"))
     each = F.arrays_zip(F.concat(F.array("a"), F.coalesce("ids", none)).alias("id"), F.concat(F.array("b"), F.coalesce("tags", none)).alias("tag"))
     entries = lists.join(long, "key").select("key", "long", F.explode(each).alias("e")).select("key", "long", F.col("e")["id"].alias("a"), F.col("e")["tag"].alias("tag"))
     place = F.row_number().over(Window.partitionBy("a", "tag").orderBy(F.desc("long"), "key"))
