@@ -61,3 +61,19 @@ def test_hot_list_over_many_partitions(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(37)
     got = sorted((tuple(r) for r in jaccard.jaccard_components(df, 5, (8, 10)).collect()), key=str)
     assert got == expected(rows, 5, 8, 10)
+
+
+def test_keys_go_by_slices(spark, monkeypatch):
+    """Each written table of entries has the keys of one slice, and the links are those of all lists."""
+    rng = random.Random(11)
+    rows = [(rng.randrange(300), i, 0, 1, None, None) for i in range(900)]
+    lists = spark.createDataFrame(rows, "key long, a long, b long, n long, ids array<long>, tags array<long>")
+    tables, cut = [], jaccard.cut
+    monkeypatch.setattr(jaccard, "cut", lambda df: tables.append(cut(df)) or tables[-1])
+    got = {(r.a, r.b) for r in jaccard.shared_lists(lists).collect()}
+    members = {}
+    for key, a, *_ in rows:
+        members.setdefault(key, set()).add(a)
+    assert got == {(min(m), x) for m in members.values() for x in m - {min(m)}}
+    slices = [{r.key for r in t.select("key").distinct().collect()} for t in tables if "long" in t.columns]
+    assert len(slices) > 1 and sum(map(len, slices)) == len(set().union(*slices)) == sum(len(m) > 1 for m in members.values())
