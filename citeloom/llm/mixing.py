@@ -122,10 +122,11 @@ def placed(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows:
 def mixed(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows: int = 16) -> DataFrame:
     """docs in the order of the mix, as sorted ranges of position; all columns and all rows are kept.
 
-    Texts are shuffled twice: to rank rows in their buckets, and by ranges of their position.
+    Texts are shuffled twice: to rank rows in their buckets, and by ranges of their position. Ranked rows are written
+    between the two, so that the files of the first shuffle are gone before the second begins.
     """
     packed = docs.select("doc_id", "source", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("mix_row"))
-    whole = placed(packed, weights, rest, block_rows, keep=["mix_row"])
+    whole = cut(placed(packed, weights, rest, block_rows, keep=["mix_row"]).select("mix_row", "position"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = whole.repartitionByRange(n, "position").sortWithinPartitions("position")
     return ordered.select(*(F.col(f"mix_row.`{c}`").alias(c) for c in docs.columns))

@@ -27,3 +27,10 @@ def test_pipeline_keeps_the_mix(spark):
     want = [r.doc_id for r in sorted(mixing.placed(docs, WEIGHTS).collect(), key=lambda r: r.position)]
     got = sorted(corpus_pipeline.run(spark, SF).select("doc_id", "position").collect(), key=lambda r: r.position)
     assert [r.position for r in got] == list(range(len(want))) and [r.doc_id for r in got] == want
+
+
+def test_ranked_rows_are_written_between_the_shuffles(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = mixing.mixed(docs, WEIGHTS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("RepartitionByExpression") == 1
+    assert mixing.mixed(docs, WEIGHTS).count() == docs.count()
