@@ -47,3 +47,15 @@ def test_paths_of_any_length(spark):
 def test_query(spark):
     edges = [(r.src, r.dst) for r in graph.relation(spark, SF, "edge").collect()]
     assert got(QUERIES["n13_shortest_path"](spark, SF)) == brute(edges)
+
+
+def test_starts_go_in_slices(spark, monkeypatch):
+    r = random.Random(6)
+    edges = [(f"x{r.randrange(20)}", f"x{r.randrange(20)}") for _ in range(50)]
+    fronts = []
+    whole = graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: fronts.append(whole(df)) or fronts[-1])
+    monkeypatch.setattr(graph, "STEPS_AT_ONCE", 300)
+    assert got(graph.shortest(spark.createDataFrame(edges, "src string, dst string"))) == brute(edges)
+    starts = [{x["from"] for x in f.select("from").collect()} for f in fronts if "hops" in f.columns]
+    assert all(len(x) < 20 for x in starts) and len({a for a, _ in edges}) > max(map(len, starts))
