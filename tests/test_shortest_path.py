@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from citeloom.operators import graph
 from citeloom.plans.registry import QUERIES
 
@@ -59,3 +61,21 @@ def test_starts_go_in_slices(spark, monkeypatch):
     assert got(graph.shortest(spark.createDataFrame(edges, "src string, dst string"))) == brute(edges)
     starts = [{x["from"] for x in f.select("from").collect()} for f in fronts if "hops" in f.columns]
     assert all(len(x) < 20 for x in starts) and len({a for a, _ in edges}) > max(map(len, starts))
+
+
+def test_a_level_lies_by_its_starts(spark, monkeypatch):
+    """What one start finds is in one task, so that the steps to one section are reduced there; nor are all sections numbered in one task."""
+    r = random.Random(7)
+    edges = [(f"x{r.randrange(40)}", f"x{r.randrange(40)}") for _ in range(160)]
+    fronts, plans = [], []
+    whole = graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or fronts.append(whole(df)) or fronts[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert got(graph.shortest(spark.createDataFrame(edges, "src string, dst string"))) == brute(edges)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    levels = [f for f in fronts if "hops" in f.columns and not f.isEmpty()]
+    assert len(levels) > 2 and max(f.select(F.input_file_name()).distinct().count() for f in levels) > 1
+    assert all(f.select("from", F.input_file_name().alias("file")).distinct().groupBy("from").count().where("count > 1").isEmpty() for f in levels)
+    assert not any("windowspecdefinition(section" in p for p in plans)
